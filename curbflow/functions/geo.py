@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,6 +38,13 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def has_numbers(columns: list[Column | str]) -> Column:
+    """Every column holds a number: neither null nor NaN. The null tests reach the scan."""
+    parts = [_col(c) for c in columns]
+    clauses = [p.isNotNull() for p in parts] + [~F.isnan(p) for p in parts]
+    return reduce(lambda a, b: a & b, clauses)
+
+
 def in_box(lat: Column | str, lon: Column | str, box: Box) -> Column:
     """Strictly inside the box."""
     lat, lon = _col(lat), _col(lon)
@@ -98,45 +106,64 @@ def _axis_bits(precision: int) -> tuple[int, int]:
     return total // 2, total - total // 2
 
 
-def geohash_cell(lat: Column | str, lon: Column | str, precision: int) -> tuple[Column, Column]:
+def _cell_sql(lat: str, lon: str, precision: int) -> tuple[str, str]:
+    lat_bits, lon_bits = _axis_bits(precision)
+    rows, columns = 1 << lat_bits, 1 << lon_bits
+    row = f"least(floor(({lat} + 90) / 180 * {rows}.0D), {rows - 1}L)"
+    row = f"CASE WHEN {lat} >= -90 AND {lat} <= 90 THEN {row} END"
+    column = f"pmod(floor(({lon} + 180) / 360 * {columns}.0D), {columns}L)"
+    return row, column
+
+
+def geohash_cell(lat: str, lon: str, precision: int) -> tuple[Column, Column]:
     """Integer (row, column) of the geohash cell: the form to group and join on.
 
-    Latitudes beyond the poles give null; longitudes wrap around the date line.
+    Takes columns by name or SQL text. Latitudes beyond the poles give null; longitudes wrap
+    around the date line.
     """
-    lat, lon = _col(lat).cast("double"), _col(lon).cast("double")
-    lat_bits, lon_bits = _axis_bits(precision)
-    row = F.floor((lat + 90) / 180 * float(1 << lat_bits))
-    row = F.when(
-        lat.between(-90, 90), F.least(row, F.lit((1 << lat_bits) - 1).cast("bigint"))
-    )
-    column = F.pmod(
-        F.floor((lon + 180) / 360 * float(1 << lon_bits)), F.lit(1 << lon_bits).cast("bigint")
-    )
-    return row, column
+    row, column = _cell_sql(lat, lon, precision)
+    return F.expr(row), F.expr(column)
 
 
-def geohash_text(row: Column | str, column: Column | str, precision: int) -> Column:
-    """The geohash of an integer cell."""
-    row, column = _col(row), _col(column)
-    lat_bits, lon_bits = _axis_bits(precision)
+def _letters() -> str:
+    """The alphabet by (three bits of one axis, two bits of the other), as letters mix them."""
+
+    def mixed(three: int, two: int) -> int:
+        bits = [three >> 2 & 1, two >> 1 & 1, three >> 1 & 1, two & 1, three & 1]
+        return int("".join(map(str, bits)), 2)
 
-    def bit(position: int) -> Column:
-        on_lon = position % 2 == 0
-        source, width = (column, lon_bits) if on_lon else (row, lat_bits)
-        return F.shiftright(source, width - 1 - position // 2).bitwiseAND(F.lit(1))
+    return "".join(GEOHASH_ALPHABET[mixed(three, two)] for three in range(8) for two in range(4))
 
-    letters = []
-    for first in range(0, 5 * precision, 5):
-        value = bit(first)
-        for position in range(first + 1, first + 5):
-            value = F.shiftleft(value, 1).bitwiseOR(bit(position))
-        letters.append(F.substring(F.lit(GEOHASH_ALPHABET), value.cast("int") + 1, F.lit(1)))
-    return F.concat(*letters)
 
+def _text_sql(row: str, column: str, precision: int) -> str:
+    """Each letter takes three bits from one axis and two from the other, in turns."""
+    row_left, column_left = _axis_bits(precision)
+    letters = _letters()
+    parts = []
+    for place in range(precision):
+        if place % 2 == 0:
+            column_left, row_left = column_left - 3, row_left - 2
+            three, two = f"shiftright({column}, {column_left})", f"shiftright({row}, {row_left})"
+        else:
+            column_left, row_left = column_left - 2, row_left - 3
+            three, two = f"shiftright({row}, {row_left})", f"shiftright({column}, {column_left})"
+        at = f"CAST(({three} & 7) * 4 + ({two} & 3) AS INT) + 1"
+        parts.append(f"substring('{letters}', {at}, 1)")
+    return f"concat({', '.join(parts)})"
 
-def geohash(lat: Column | str, lon: Column | str, precision: int = 8) -> Column:
-    """Geohash of a point; null when a coordinate is null."""
-    return geohash_text(*geohash_cell(lat, lon, precision), precision)
+
+def geohash_text(row: str, column: str, precision: int) -> Column:
+    """The geohash of an integer cell."""
+    return F.expr(_text_sql(row, column, precision))
+
+
+def geohash(lat: str, lon: str, precision: int = 8) -> Column:
+    """Geohash of a point; null when a coordinate is null.
+
+    The expression is one SQL text: building it call by call would take longer than a batch.
+    """
+    row, column = _cell_sql(lat, lon, precision)
+    return F.expr(_text_sql(f"({row})", f"({column})", precision))
 
 
 def geohash_centre(cell: Column | str) -> Column:

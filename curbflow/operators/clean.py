@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +50,14 @@ def stamp_arrival(df: DataFrame, column: str = "timestamp", now: datetime | None
 
 
 def drop_null_points(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Drops rows with a null in any of the columns."""
-    return df.na.drop("any", subset=columns)
+    """Drops rows with a null, or a number that is none, in any of the columns.
+
+    Plain null tests, unlike ``na.drop``, reach the scan.
+    """
+    floating = (T.DoubleType, T.FloatType)
+    kept = [F.col(c).isNotNull() for c in columns]
+    kept += [~F.isnan(c) for c in columns if isinstance(df.schema[c].dataType, floating)]
+    return df.filter(reduce(lambda a, b: a & b, kept))
 
 
 def non_empty(df: DataFrame, column: str) -> DataFrame:

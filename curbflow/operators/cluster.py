@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbflow.functions.geo import has_numbers
 from curbflow.operators.clean import timestamp_literal
 
 POINT_COLUMNS = ("lat", "lon")
@@ -61,7 +62,7 @@ class Centres:
 def _arrow_table(rows: list[tuple], columns: tuple[str, ...], batch: bool = False) -> pa.Table:
     """Model rows as an Arrow table: Spark then knows their true size when it plans a join."""
     types = {
-        **({"batch": pa.timestamp("us")} if batch else {}),
+        **({"batch": pa.string()} if batch else {}),
         "cluster": pa.int32(),
         **{c: pa.float64() for c in columns},
         "weight": pa.float64(),
@@ -88,21 +89,24 @@ def half_life_decay(half_life: float) -> float:
     return math.exp(math.log(0.5) / half_life)
 
 
-def _squared_distance(columns: list[Column], centre: list[Column]) -> Column:
-    total = None
-    for x, c in zip(columns, centre):
-        step = (x - c) * (x - c)
-        total = step if total is None else total + step
-    return total
+def _squared_distance(columns: list[str], centre: list[str]) -> str:
+    return " + ".join(f"({x} - {c}) * ({x} - {c})" for x, c in zip(columns, centre))
 
 
-def _nearest(columns: list[Column], centres: list[list[Column]]) -> Column:
-    distances = [_squared_distance(columns, c) for c in centres]
-    if len(distances) == 1:
+def _quoted(columns: tuple[str, ...]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def _nearest(columns: list[str], centres: list[list[str]]) -> Column:
+    """The number of the nearest centre; points and centres are SQL terms.
+
+    One SQL text, because building k distances call by call takes longer than a small batch.
+    """
+    if len(centres) == 1:
         return F.lit(0)
+    distances = ", ".join(_squared_distance(columns, c) for c in centres)
     # the first position of the minimum: ties go to the lowest cluster
-    position = F.array_position(F.array(*distances), F.least(*distances))
-    return (position - 1).cast("int")
+    return F.expr(f"CAST(array_position(array({distances}), least({distances})) - 1 AS INT)")
 
 
 # Beyond this many centres the distances no longer fit in one generated method.
@@ -111,20 +115,16 @@ INLINE_CENTRES = 64
 
 def nearest_centre(centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS) -> Column:
     """The cluster of a point as an expression with the centres in it; null for null points."""
-    points = [F.col(c) for c in columns]
-    present = F.lit(True)
-    for p in points:
-        present = present & p.isNotNull()
+    names = _quoted(columns)
+    terms = [[f"({float(x)!r}D)" for x in c] for c in centres.coords]
     if centres.k <= INLINE_CENTRES:
-        nearest = _nearest(points, [[F.lit(float(x)) for x in c] for c in centres.coords])
+        nearest = _nearest(names, terms)
     else:
-        model = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres.coords])
-        distances = F.transform(
-            model,
-            lambda c: _squared_distance(points, [F.get(c, i) for i in range(len(points))]),
-        )
-        nearest = (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
-    return F.when(present, nearest)
+        model = ", ".join(f"array({', '.join(c)})" for c in terms)
+        distance = _squared_distance(names, [f"c[{j}]" for j in range(len(names))])
+        ranked = f"transform(array({model}), (c, i) -> struct({distance} AS d, i AS cluster))"
+        nearest = F.expr(f"array_min({ranked}).cluster")
+    return F.when(has_numbers(list(columns)), nearest)
 
 
 def assign_clusters(
@@ -138,7 +138,7 @@ def cluster_sums(
     points: DataFrame, centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS
 ) -> DataFrame:
     """``(cluster, n, sum_<column>...)`` of the points; at most k rows leave each task."""
-    present = points.na.drop("any", subset=list(columns)).select(*columns)
+    present = points.filter(has_numbers(list(columns))).select(*columns)
     sums = [F.sum(c).alias(f"sum_{c}") for c in columns]
     return assign_clusters(present, centres, columns).groupBy("cluster").agg(F.count("*").alias("n"), *sums)
 
@@ -244,8 +244,10 @@ def history_df(
     columns: tuple[str, ...] = POINT_COLUMNS,
 ) -> DataFrame:
     """``(batch, cluster, <columns>, weight)``: k rows for each window."""
-    rows = [(start, *row) for start, model in history for row in model.rows()]
-    return spark.createDataFrame(_arrow_table(rows, columns, batch=True))
+    rows = [(start.isoformat(), *row) for start, model in history for row in model.rows()]
+    table = spark.createDataFrame(_arrow_table(rows, columns, batch=True))
+    # through text: an Arrow timestamp would arrive in the session's time zone
+    return table.withColumn("batch", F.col("batch").cast("timestamp_ntz"))
 
 
 def assign_with_history(
@@ -265,16 +267,17 @@ def assign_with_history(
     execution splits a window that holds too many points.
     """
     shift = every if predict_first else timedelta(0)
-    wide = history.groupBy("batch").pivot("cluster", list(range(k))).agg(
-        *[F.first(c).alias(c) for c in columns]
-    )
     names = [[f"_{i}_{c}" for c in columns] for i in range(k)]
-    wide = wide.select(
-        (F.col("batch") + F.expr(f"INTERVAL {int(shift.total_seconds())} SECONDS")).alias("batch"),
-        *[F.col(f"{i}_{c}").alias(f"_{i}_{c}") for i in range(k) for c in columns],
+    start = F.col("batch") + F.expr(f"INTERVAL {int(shift.total_seconds())} SECONDS")
+    wide = history.groupBy(start.alias("batch")).agg(
+        *[
+            F.max(F.when(F.col("cluster") == i, F.col(c))).alias(f"_{i}_{c}")
+            for i in range(k)
+            for c in columns
+        ]
     )
-    placed = points.na.drop("any", subset=list(columns)).withColumn(
+    placed = points.filter(has_numbers(list(columns))).withColumn(
         "batch", window_start(ts, every).cast("timestamp_ntz")
     )
-    nearest = _nearest([F.col(c) for c in columns], [[F.col(n) for n in row] for row in names])
+    nearest = _nearest(_quoted(columns), names)
     return placed.join(wide, "batch").select(*points.columns, "batch", nearest.alias("cluster"))

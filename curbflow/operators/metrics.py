@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from curbflow.functions.geo import geohash_cell, geohash_text
+from curbflow.functions.geo import geohash_cell, geohash_text, has_numbers
 from curbflow.operators.cluster import Centres
 
 
@@ -71,9 +72,9 @@ def vendor_pair_counts(
     by_cluster = present.groupBy(*by, "topic", "cluster").agg(
         F.count("*").alias("predictions"), F.count_if(F.col(vendor) == key).alias("_keyed")
     )
-    # k rows per batch and topic from here on
-    keyed = by_cluster.groupBy(*by, "topic").agg(F.sum("_keyed").alias("keyed_points"))
-    paired = by_cluster.drop("_keyed").join(keyed, [*by, "topic"])
+    # k rows per batch and topic from here on, so the window is small
+    side = W.partitionBy(*by, "topic")
+    paired = by_cluster.withColumn("keyed_points", F.sum("_keyed").over(side))
     pairs = (F.col("keyed_points") * F.col("predictions")).alias("pairs")
     return paired.filter("keyed_points > 0").select(*by, "topic", "cluster", "keyed_points", "predictions", pairs)
 
@@ -88,7 +89,7 @@ def geohash_grid(
     """
     row, column = geohash_cell(lat, lon, precision)
     cells = (
-        df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+        df.filter(has_numbers([lat, lon]))
         .groupBy(row.alias("_row"), column.alias("_column"))
         .agg(*aggregates)
         .filter(F.col("_row").isNotNull())

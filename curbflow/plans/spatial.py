@@ -98,7 +98,8 @@ def geo_point_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 2, F.concat(F.lit("["), lon, F.lit(", "), lat, F.lit("]")))
         .otherwise(geo.geohash("dropoff_latitude", "dropoff_longitude", 12))
     )
-    parsed = t.select("trip_id", geo.parse_geo_point(text).alias("p"))
+    texts = t.select("trip_id", text.alias("location"))
+    parsed = texts.select("trip_id", geo.parse_geo_point("location").alias("p"))
     return parsed.select("trip_id", F.round("p.lat", 5).alias("lat"), F.round("p.lon", 5).alias("lon"))
 
 

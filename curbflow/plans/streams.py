@@ -138,7 +138,7 @@ def stream_point_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trained(run: Run, sf_dir: str) -> list:
     points = jobs.trip_points(run.messages(sf_dir))
-    run.finish(training.land_points(points, run.path("landed"), run.path("checkpoint"), interval=None))
+    run.finish(training.land_points(points, run.path("landed"), run.path("checkpoint"), "day", None))
     return training.train_closed_windows(
         run.spark,
         run.path("landed"),
@@ -147,6 +147,7 @@ def _trained(run: Run, sf_dir: str) -> list:
         EVERY,
         clustering.DECAY,
         timedelta(hours=1),
+        grain="day",
     )
 
 
@@ -169,7 +170,7 @@ def stream_trained_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = Run(spark, "trained-documents")
     _trained(run, sf_dir)
     folders = (run.path("landed"), run.path("models"), run.path("index"))
-    training.publish_closed_windows(spark, *folders, len(common.CENTRE_COORDS), EVERY)
+    training.publish_closed_windows(spark, *folders, len(common.CENTRE_COORDS), EVERY, "day")
     return read_index(spark, run.path("index")).select(
         F.date_format("batch", "yyyy-MM-dd").alias("batch"),
         "cluster",

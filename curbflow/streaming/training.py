@@ -2,7 +2,7 @@
 
 Three steps, each restartable from what it has already written:
 
-1. ``land_points`` streams points into a table partitioned by hour.
+1. ``land_points`` streams points into a table partitioned by time.
 2. ``train_closed_windows`` folds the model over the windows that are complete and newer than
    the last trained one, and appends the models it made.
 3. ``publish_closed_windows`` writes the demand/supply documents of the windows that have a
@@ -34,29 +34,37 @@ from curbflow.operators.metrics import supply_demand, with_centres
 from curbflow.sinks.index import _path_exists
 from curbflow.sinks.streams import DEFAULT_INTERVAL, start
 
-HOUR = "yyyy-MM-dd-HH"
-HOUR_PY = "%Y-%m-%d-%H"
+# Partition texts of the landed table. They sort as the times do.
+GRAINS = {"hour": ("yyyy-MM-dd-HH", "%Y-%m-%d-%H"), "day": ("yyyy-MM-dd", "%Y-%m-%d")}
 
-LANDED_SCHEMA = "topic STRING, lat DOUBLE, lon DOUBLE, ts TIMESTAMP, hour STRING"
+LANDED_SCHEMA = "topic STRING, lat DOUBLE, lon DOUBLE, ts TIMESTAMP, part STRING"
 
 
 def land_points(
-    points: DataFrame, path: str, checkpoint: str, interval: str | None = DEFAULT_INTERVAL
+    points: DataFrame,
+    path: str,
+    checkpoint: str,
+    grain: str = "hour",
+    interval: str | None = DEFAULT_INTERVAL,
 ) -> StreamingQuery:
-    """Appends points to the landed table, each exactly once."""
-    rows = points.select("topic", "lat", "lon", "ts", F.date_format("ts", HOUR).alias("hour"))
-    return start(rows, "parquet", checkpoint, path, interval, ["hour"])
+    """Appends points to the landed table, each exactly once.
+
+    The grain is the reading unit of the training: hours for windows of seconds or minutes,
+    days for longer ones.
+    """
+    part = F.date_format("ts", GRAINS[grain][0]).alias("part")
+    return start(points.select("topic", "lat", "lon", "ts", part), "parquet", checkpoint, path, interval, ["part"])
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDED_SCHEMA).parquet(path)
 
 
-def _hours(first: datetime, end: datetime | None = None) -> Column:
+def _parts(grain: str, first: datetime, end: datetime | None = None) -> Column:
     """The partitions that can hold points from ``first`` up to ``end``."""
-    hour = F.col("hour")
-    after = hour >= first.strftime(HOUR_PY)
-    return after if end is None else after & (hour <= end.strftime(HOUR_PY))
+    part, form = F.col("part"), GRAINS[grain][1]
+    after = part >= first.strftime(form)
+    return after if end is None else after & (part <= end.strftime(form))
 
 
 def latest_model(spark: SparkSession, models: str, k: int) -> tuple[datetime, Centres] | None:
@@ -76,6 +84,7 @@ def train_closed_windows(
     decay: float,
     delay: timedelta = timedelta(0),
     unit: str = "batches",
+    grain: str = "hour",
 ) -> list[tuple[datetime, Centres]]:
     """Trains on every window that ended ``delay`` or longer before the newest point."""
     known = latest_model(spark, models, initial.k)
@@ -85,7 +94,7 @@ def train_closed_windows(
     if known:
         last, centres = known
         since = timestamp_literal(points, "ts", last + every)
-        fresh = points.filter(_hours(last + every) & (F.col("ts") >= since))
+        fresh = points.filter(_parts(grain, last + every) & (F.col("ts") >= since))
     # all points move the clock, as they move a watermark; only users teach the model
     newest = fresh.agg(F.max("ts").cast("timestamp_ntz").alias("t")).first()["t"]
     bounds = window_range(fresh, "ts", every)
@@ -97,7 +106,15 @@ def train_closed_windows(
         last_closed -= every
     users = points.filter(F.col("topic") == "users")
     trained = list(
-        train_windows(users, centres, every, decay, unit, bounds=(first, last_closed), prune=_hours)
+        train_windows(
+            users,
+            centres,
+            every,
+            decay,
+            unit,
+            bounds=(first, last_closed),
+            prune=lambda begin, end: _parts(grain, begin, end),
+        )
     )
     if trained:
         history_df(spark, trained).coalesce(1).write.mode("append").parquet(models)
@@ -105,7 +122,7 @@ def train_closed_windows(
 
 
 def publish_closed_windows(
-    spark: SparkSession, landed: str, models: str, index: str, k: int, every: timedelta
+    spark: SparkSession, landed: str, models: str, index: str, k: int, every: timedelta, grain: str = "hour"
 ) -> None:
     """Appends the documents of the windows that have a model but no documents yet."""
     history = spark.read.parquet(models)
@@ -119,7 +136,7 @@ def publish_closed_windows(
     points = read_landed(spark, landed)
     begin, end = edges["a"], edges["b"] + every
     inside = (
-        _hours(begin, end)
+        _parts(grain, begin, end)
         & (F.col("ts") >= timestamp_literal(points, "ts", begin))
         & (F.col("ts") < timestamp_literal(points, "ts", end))
     )
