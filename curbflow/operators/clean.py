@@ -50,13 +50,11 @@ def stamp_arrival(df: DataFrame, column: str = "timestamp", now: datetime | None
 
 
 def drop_null_points(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Drops rows with a null, or a number that is none, in any of the columns.
-
-    Plain null tests, unlike ``na.drop``, reach the scan.
-    """
+    """Drops rows with a null, or a number that is none, in any of the columns."""
     floating = (T.DoubleType, T.FloatType)
-    kept = [F.col(c).isNotNull() for c in columns]
-    kept += [~F.isnan(c) for c in columns if isinstance(df.schema[c].dataType, floating)]
+    numbers = [c for c in columns if isinstance(df.schema[c].dataType, floating)]
+    kept = [F.col(c).isNotNull() for c in columns if c not in numbers]
+    kept += [geo.has_numbers([c]) for c in numbers]
     return df.filter(reduce(lambda a, b: a & b, kept))
 
 

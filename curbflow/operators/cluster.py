@@ -113,34 +113,42 @@ def _nearest(columns: list[str], centres: list[list[str]]) -> Column:
 INLINE_CENTRES = 64
 
 
-def nearest_centre(centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS) -> Column:
-    """The cluster of a point as an expression with the centres in it; null for null points."""
+def _nearest_of(centres: Centres, columns: tuple[str, ...]) -> Column:
     names = _quoted(columns)
     terms = [[f"({float(x)!r}D)" for x in c] for c in centres.coords]
     if centres.k <= INLINE_CENTRES:
-        nearest = _nearest(names, terms)
-    else:
-        model = ", ".join(f"array({', '.join(c)})" for c in terms)
-        distance = _squared_distance(names, [f"c[{j}]" for j in range(len(names))])
-        ranked = f"transform(array({model}), (c, i) -> struct({distance} AS d, i AS cluster))"
-        nearest = F.expr(f"array_min({ranked}).cluster")
-    return F.when(has_numbers(list(columns)), nearest)
+        return _nearest(names, terms)
+    model = ", ".join(f"array({', '.join(c)})" for c in terms)
+    distance = _squared_distance(names, [f"c[{j}]" for j in range(len(names))])
+    ranked = f"transform(array({model}), (c, i) -> struct({distance} AS d, i AS cluster))"
+    return F.expr(f"array_min({ranked}).cluster")
+
+
+def nearest_centre(centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS) -> Column:
+    """The cluster of a point, with the centres in the expression; null for missing points."""
+    return F.when(has_numbers(list(columns)), _nearest_of(centres, columns))
 
 
 def assign_clusters(
     points: DataFrame, centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS
 ) -> DataFrame:
-    """Adds ``cluster``. No join and no shuffle, in batch or stream."""
-    return points.withColumn("cluster", nearest_centre(centres, columns))
+    """Adds ``cluster`` to the points that have coordinates; others are left out.
+
+    No join and no shuffle, in batch or stream. The column is declared free of nulls: else a
+    later join or filter on it would push a null test below this projection, and with it a
+    second copy of all distances.
+    """
+    cluster = F.coalesce(_nearest_of(centres, columns), F.lit(0))
+    return points.filter(has_numbers(list(columns))).withColumn("cluster", cluster)
 
 
 def cluster_sums(
     points: DataFrame, centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS
 ) -> DataFrame:
     """``(cluster, n, sum_<column>...)`` of the points; at most k rows leave each task."""
-    present = points.filter(has_numbers(list(columns))).select(*columns)
     sums = [F.sum(c).alias(f"sum_{c}") for c in columns]
-    return assign_clusters(present, centres, columns).groupBy("cluster").agg(F.count("*").alias("n"), *sums)
+    assigned = assign_clusters(points.select(*columns), centres, columns)
+    return assigned.groupBy("cluster").agg(F.count("*").alias("n"), *sums)
 
 
 def update_centres(

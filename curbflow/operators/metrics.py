@@ -11,9 +11,13 @@ from curbflow.operators.cluster import Centres
 
 
 def cluster_counts(assigned: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Events per cluster and topic, and per batch when ``by`` names one."""
+    """Events per cluster and topic, and per batch when ``by`` names one.
+
+    Points without a cluster are left out by counting the clusters: a filter on the cluster
+    would be copied below the assignment and compute it twice.
+    """
     keys = [*by, "topic", "cluster"]
-    return assigned.filter(F.col("cluster").isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"))
+    return assigned.groupBy(*keys).agg(F.count("cluster").alias("n")).filter("n > 0")
 
 
 def supply_demand(
@@ -28,11 +32,10 @@ def supply_demand(
     if how not in ("inner", "outer"):
         raise ValueError("how is 'inner' or 'outer'")
     counts = (
-        assigned.filter(F.col("cluster").isNotNull())
-        .groupBy(*by, "cluster")
+        assigned.groupBy(*by, "cluster")
         .agg(
-            F.count_if(F.col("topic") == "users").alias("u_count"),
-            F.count_if(F.col("topic") == "cars").alias("c_count"),
+            F.count(F.when(F.col("topic") == "users", F.col("cluster"))).alias("u_count"),
+            F.count(F.when(F.col("topic") == "cars", F.col("cluster"))).alias("c_count"),
         )
     )
     keep = (F.col("u_count") > 0) & (F.col("c_count") > 0)
@@ -68,9 +71,13 @@ def vendor_pair_counts(
     are quadratic and never made: a cluster has (points of the vendor) x (points of the
     cluster) of them, and both factors come from one grouped pass.
     """
-    present = assigned.filter(F.col("cluster").isNotNull())
-    by_cluster = present.groupBy(*by, "topic", "cluster").agg(
-        F.count("*").alias("predictions"), F.count_if(F.col(vendor) == key).alias("_keyed")
+    by_cluster = (
+        assigned.groupBy(*by, "topic", "cluster")
+        .agg(
+            F.count("cluster").alias("predictions"),
+            F.count(F.when(F.col(vendor) == key, F.col("cluster"))).alias("_keyed"),
+        )
+        .filter("predictions > 0")
     )
     # k rows per batch and topic from here on, so the window is small
     side = W.partitionBy(*by, "topic")

@@ -25,7 +25,7 @@ from curbflow.sources.topics import (
     decode_or_text,
     read_topics,
 )
-from curbflow.streaming.jobs import enriched_messages, trip_messages
+from curbflow.streaming.jobs import ENRICHED, enriched_messages, trip_messages
 
 PROPS = T.StructType([T.StructField("k", T.LongType())])
 SQL_MESSY = """messy AS (
@@ -66,10 +66,12 @@ def json_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched text messages back to fields."""
+    """Enriched text messages, published and read back, to fields."""
     points = common.points(spark, sf_dir).withColumn("timestamp", arrival_text("ts"))
-    messages = enriched_messages(points, common.centres())
-    fields = decode_delimited(messages.select("value"), ",", ENRICHED_FIELDS)
+    folder = Topics("parquet", scratch_path(spark, "enriched"))
+    write_topics(enriched_messages(points, common.centres()), folder)
+    messages = read_topics(spark, folder, [ENRICHED]).select("value")
+    fields = decode_delimited(messages, ",", ENRICHED_FIELDS)
     return fields.select(
         F.col("cluster").cast("int").alias("cluster"),
         F.col("lat").cast("double").alias("lat"),

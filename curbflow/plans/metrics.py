@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from curbflow.functions.geo import BOX_C, precision_for_zoom
 from curbflow.operators import metrics as m
-from curbflow.operators.clean import in_box, last_days
+from curbflow.operators.clean import in_box, last_days, to_points
 from curbflow.operators.cluster import assign_clusters
 from curbflow.plans import common
 from curbflow.plans.spatial import sql_geohash
+from curbflow.sources.tables import trips
 
 # The zoom level at which the map panels open.
 PANEL_ZOOM = 13
@@ -29,7 +30,8 @@ def assigned_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supply_demand_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users, cars, their ratio and the place of each cluster, for points in box C."""
-    boxed = in_box(common.points(spark, sf_dir), "lat", "lon", BOX_C)
+    # the box leaves missing coordinates out as well
+    boxed = in_box(to_points(trips(spark, sf_dir)), "lat", "lon", BOX_C)
     ratios = m.supply_demand(assign_clusters(boxed, common.centres()))
     placed = m.with_centres(ratios, common.centres())
     return placed.select("cluster", "u_count", "c_count", F.round("ratio", 6).alias("ratio"), "lat", "lon")

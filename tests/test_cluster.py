@@ -33,8 +33,9 @@ def test_nearest_centre_equals_brute_force(spark, k):
 
 def test_ties_go_to_the_lowest_cluster_and_missing_points_to_none(spark):
     centres = c.given_centres([(0.0, 1.0), (0.0, -1.0)])
-    got = c.assign_clusters(frame(spark, [(0.0, 0.0), (None, 0.0), (0.0, None), (float("nan"), 0.0)]), centres)
-    assert [r["cluster"] for r in got.collect()] == [0, None, None, None]
+    df = frame(spark, [(0.0, 0.0), (None, 0.0), (0.0, None), (float("nan"), 0.0)])
+    assert [r["cluster"] for r in c.assign_clusters(df, centres).collect()] == [0]
+    assert [r[0] for r in df.select(c.nearest_centre(centres)).collect()] == [0, None, None, None]
 
 
 @pytest.mark.parametrize("unit,decay", [("batches", 0.87), ("batches", 1.0), ("points", 0.999)])
