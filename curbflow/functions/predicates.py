@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: what separates two tokens of a text.
+# What separates two tokens of a text, and the edges of one token.
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
+WORD_START = r"(?<![\p{L}\p{N}])(?:"
+WORD_END = r")(?![\p{L}\p{N}])"
 
 
 def _col(c: Column | str) -> Column:
@@ -31,7 +33,7 @@ def match_text(text: Column | str, query: str) -> Column:
     if not tokens:
         return F.lit(False)
     words = "|".join(re.escape(t) for t in tokens)
-    return F.lower(_col(text)).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])")
+    return F.lower(_col(text)).rlike(WORD_START + words + WORD_END)
 
 
 def term(column: Column | str, value) -> Column:

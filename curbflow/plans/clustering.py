@@ -19,6 +19,7 @@ POINT_DECAY = 0.9999
 RANDOM_SEED = 7
 # Enough five-day windows for any month; windows past the last point change nothing.
 SQL_WINDOWS = 8
+SQL_BATCH_NUMBER = f"CAST(floor(epoch(ts) / {EVERY.days * 86400}) AS BIGINT)"
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +89,7 @@ def assigned_then_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_start_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight random centres folded over daily batches: what must hold whatever the start.
+    """Eight random centres folded over the batches: what must hold whatever the start.
 
     Clusters that come alive by splitting differ by rounding alone, so single centres are not
     comparable between engines; their number and the total weight are.
@@ -96,8 +97,8 @@ def random_start_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = _users(spark, sf_dir)
     start = c.random_centres(seed=RANDOM_SEED)
     rows = [
-        (day.strftime("%Y-%m-%d"), model.k, round(math.fsum(model.weights), 4))
-        for day, model in c.train_windows(users, start, timedelta(days=1), DECAY)
+        (batch.strftime("%Y-%m-%d"), model.k, round(math.fsum(model.weights), 4))
+        for batch, model in c.train_windows(users, start, EVERY, DECAY)
     ]
     return spark.createDataFrame(rows, "batch STRING, centres INT, total_weight DOUBLE")
 
@@ -133,12 +134,10 @@ FROM centres c LEFT JOIN sums s USING (cluster)"""
 
 def _sql_fold() -> str:
     """The fold, one block of WITH entries per window, and ``history`` of all models."""
-    days = EVERY.days
-    window = f"CAST(floor(epoch(ts) / {days * 86400}) AS BIGINT)"
     blocks = [
         common.SQL_POINTS,
         common.sql_centres(),
-        f"placed AS (SELECT *, {window} AS b FROM points)",
+        f"placed AS (SELECT *, {SQL_BATCH_NUMBER} AS b FROM points)",
         "users AS (SELECT * FROM placed WHERE topic = 'users')",
         "edge AS (SELECT min(b) AS lo, max(b) AS hi FROM users)",
         "m0 AS (SELECT cluster, clat, clon, 0.0e0 AS w FROM centres)",
@@ -184,11 +183,10 @@ SELECT {_sql_batch('b')} AS batch, CAST(cluster AS INTEGER) AS cluster, round(cl
   round(clon, 6) AS lon, round(w, 6) AS weight FROM history""",
     "trained_then_assigned": _sql_assigned_in_turn(0),
     "assigned_then_trained": _sql_assigned_in_turn(1),
-    "random_start_invariants": f"""WITH RECURSIVE {common.SQL_POINTS},
-daily AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM points WHERE topic = 'users' GROUP BY 1),
-edge AS (SELECT min(day) AS lo, max(day) AS hi FROM daily),
-days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM edge)
-SELECT strftime(d.day, '%Y-%m-%d') AS batch, {c.DEFAULT_K} AS centres,
-  round(sum(coalesce(e.n, 0) * pow({SQL_DECAY}, date_diff('day', e.day, d.day))), 4) AS total_weight
-FROM days d JOIN daily e ON e.day <= d.day GROUP BY d.day""",
+    "random_start_invariants": f"""WITH {common.SQL_POINTS},
+counted AS (SELECT {SQL_BATCH_NUMBER} AS b, count(*) AS n FROM points WHERE topic = 'users' GROUP BY 1),
+batches AS (SELECT unnest(generate_series(min(b), max(b))) AS b FROM counted)
+SELECT {_sql_batch('x.b')} AS batch, {c.DEFAULT_K} AS centres,
+  round(sum(e.n * pow({SQL_DECAY}, x.b - e.b)), 4) AS total_weight
+FROM batches x JOIN counted e ON e.b <= x.b GROUP BY x.b""",
 }

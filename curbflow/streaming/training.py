@@ -37,6 +37,9 @@ from curbflow.sinks.streams import DEFAULT_INTERVAL, start
 # Partition texts of the landed table. They sort as the times do.
 GRAINS = {"hour": ("yyyy-MM-dd-HH", "%Y-%m-%d-%H"), "day": ("yyyy-MM-dd", "%Y-%m-%d")}
 
+# After this many windows the new models are written, so a lost driver repeats at most as many.
+SAVE_EVERY = 100
+
 LANDED_SCHEMA = "topic STRING, lat DOUBLE, lon DOUBLE, ts TIMESTAMP, part STRING"
 
 
@@ -105,22 +108,30 @@ def train_closed_windows(
     while last_closed + every > newest - delay:
         last_closed -= every
     users = points.filter(F.col("topic") == "users")
-    trained = list(
-        train_windows(
-            users,
-            centres,
-            every,
-            decay,
-            unit,
-            bounds=(first, last_closed),
-            prune=lambda begin, end: _parts(grain, begin, end),
-        )
-    )
-    if trained:
-        history_df(spark, trained).coalesce(1).write.mode("append").parquet(models)
+    trained, unsaved = [], []
+    for step in train_windows(
+        users,
+        centres,
+        every,
+        decay,
+        unit,
+        bounds=(first, last_closed),
+        prune=lambda begin, end: _parts(grain, begin, end),
+    ):
+        trained.append(step)
+        unsaved.append(step)
+        if len(unsaved) == SAVE_EVERY:
+            _save(spark, unsaved, models)
+            unsaved = []
+    _save(spark, unsaved, models)
     return trained
 
 
+def _save(spark: SparkSession, steps: list[tuple[datetime, Centres]], models: str) -> None:
+    if steps:
+        history_df(spark, steps).coalesce(1).write.mode("append").parquet(models)
+
+
 def publish_closed_windows(
     spark: SparkSession, landed: str, models: str, index: str, k: int, every: timedelta, grain: str = "hour"
 ) -> None:
