@@ -15,8 +15,14 @@ from curbflow.functions.text import arrival_text
 
 def timestamp_literal(df: DataFrame, column: str, moment: datetime) -> Column:
     """A literal of the column's own type, so that comparing it can reach the scan."""
-    kind = "TIMESTAMP_NTZ" if isinstance(df.schema[column].dataType, T.TimestampNTZType) else "TIMESTAMP"
-    return F.expr(f"{kind} '{moment:%Y-%m-%d %H:%M:%S.%f}'")
+    literal = _wall_clock(moment)
+    is_wall_clock = isinstance(df.schema[column].dataType, T.TimestampNTZType)
+    return literal if is_wall_clock else literal.cast("timestamp")
+
+
+def _wall_clock(moment: datetime) -> Column:
+    """A literal that reads the same in every session time zone."""
+    return F.expr(f"TIMESTAMP_NTZ '{moment:%Y-%m-%d %H:%M:%S.%f}'")
 
 
 def to_points(trips: DataFrame) -> DataFrame:
@@ -39,13 +45,13 @@ def default_coords(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def default_time(df: DataFrame, column: str, now: datetime | None = None) -> DataFrame:
     """A missing time text becomes the arrival time."""
-    moment = F.current_timestamp() if now is None else F.lit(now)
+    moment = F.current_timestamp() if now is None else _wall_clock(now)
     return df.withColumn(column, F.coalesce(column, arrival_text(moment)))
 
 
 def stamp_arrival(df: DataFrame, column: str = "timestamp", now: datetime | None = None) -> DataFrame:
     """Every row gets the arrival time as text."""
-    moment = F.current_timestamp() if now is None else F.lit(now)
+    moment = F.current_timestamp() if now is None else _wall_clock(now)
     return df.withColumn(column, arrival_text(moment))
 
 
