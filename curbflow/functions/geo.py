@@ -113,17 +113,19 @@ def _axis_bits(precision: int) -> tuple[int, int]:
 def _cell_sql(lat: str, lon: str, precision: int) -> tuple[str, str]:
     lat_bits, lon_bits = _axis_bits(precision)
     rows, columns = 1 << lat_bits, 1 << lon_bits
-    row = f"least(floor(({lat} + 90) / 180 * {rows}.0D), {rows - 1}L)"
-    row = f"CASE WHEN {lat} >= -90 AND {lat} <= 90 THEN {row} END"
-    column = f"pmod(floor(({lon} + 180) / 360 * {columns}.0D), {columns}L)"
+    # at most 30 bits each, so plain integers hold them
+    row = f"least(CAST(floor(({lat} + 90) / 180 * {rows}.0D) AS INT), {rows - 1})"
+    finite = f"abs({lon}) < double('Infinity')"
+    row = f"CASE WHEN {lat} >= -90 AND {lat} <= 90 AND {finite} THEN {row} END"
+    column = f"CAST(pmod(floor(({lon} + 180) / 360 * {columns}.0D), {columns}L) AS INT)"
     return row, column
 
 
 def geohash_cell(lat: str, lon: str, precision: int) -> tuple[Column, Column]:
     """Integer (row, column) of the geohash cell: the form to group and join on.
 
-    Takes columns by name or SQL text. Latitudes beyond the poles give null; longitudes wrap
-    around the date line.
+    Takes columns by name or SQL text. Latitudes beyond the poles and longitudes that are no
+    finite number give a null row; other longitudes wrap around the date line.
     """
     row, column = _cell_sql(lat, lon, precision)
     return F.expr(row), F.expr(column)
@@ -151,7 +153,7 @@ def _text_sql(row: str, column: str, precision: int) -> str:
         else:
             column_left, row_left = column_left - 2, row_left - 3
             three, two = f"shiftright({row}, {row_left})", f"shiftright({column}, {column_left})"
-        at = f"CAST(({three} & 7) * 4 + ({two} & 3) AS INT) + 1"
+        at = f"(shiftleft({three} & 7, 2) | {two} & 3) + 1"
         parts.append(f"substring('{letters}', {at}, 1)")
     return f"concat({', '.join(parts)})"
 

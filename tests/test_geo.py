@@ -60,9 +60,10 @@ def test_geohash_is_interval_halving(spark, rows, precision):
 
 def test_geohash_edges(spark):
     rows = [(90.0, 0.0), (91.0, 0.0), (None, 0.0), (0.0, None), (10.0, 190.0), (10.0, -170.0), (float("nan"), 1.0)]
+    rows += [(1.0, float("nan")), (1.0, float("inf"))]
     got = [r[0] for r in points(spark, rows).select(geo.geohash("lat", "lon", 6)).collect()]
     assert got[0] == reference_geohash(89.9999999, 0.0, 6)
-    assert got[1] is None and got[2] is None and got[3] is None and got[6] is None
+    assert got[1] is None and got[2] is None and got[3] is None and got[6] is None and got[7:] == [None, None]
     assert got[4] == got[5]
 
 
