@@ -5,23 +5,31 @@ Nothing else in the library imports this package.
 
 from __future__ import annotations
 
+import functools
 import importlib
 
-# Module, query, and whether the module has SQL for it under ORACLES.
-_MODULES = [
-    "packing",
-]
+from curbflow.llm.shipping import ship
+
+_MODULES = ["toxicity", "packing", "quality"]
 
 
 def queries():
-    """One query for each operator, and ``pipeline``."""
+    """One query for each operator."""
     found = {}
     for name in _MODULES:
         module = importlib.import_module(f"curbflow.llm.{name}")
-        found |= {k: v for k, v in vars(module).items() if k.startswith("op") and k[2].isdigit()}
+        found |= {k: _shipped(v) for k, v in vars(module).items() if k.startswith("op") and k[2].isdigit()}
     return found
 
 
+def _shipped(query):
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        return query(ship(spark), sf_dir)
+
+    return run
+
+
 def oracle_sql():
     found = {}
     for name in _MODULES:
