@@ -33,8 +33,8 @@ from curbflow.llm import textbytes as tb
 from curbflow.llm.classify import held_out, training_rows
 
 THRESHOLD = 0.7
-FIT_ROWS = 6_000  # labelled documents that the field is fitted on, at most
-ROUNDS, STEPS, RIDGE = 3, 120, 1e-4
+FIT_ROWS = 4_000  # labelled documents that the field is fitted on, at most
+ROUNDS, STEPS, RIDGE = 3, 80, 1e-4
 
 _CLASSES = [
     tb.byte_table(lambda b: chr(b).isalpha() and b < 128 or b >= 0xC3),  # letters, by their first byte
