@@ -10,7 +10,7 @@ import importlib
 
 from curbflow.llm.shipping import ship
 
-_MODULES = ["toxicity", "packing", "quality"]
+_MODULES = ["toxicity", "packing", "decontam", "quality"]
 
 
 def queries():
