@@ -10,7 +10,7 @@ import importlib
 
 from curbflow.llm.shipping import ship
 
-_MODULES = ["toxicity", "packing", "decontam", "quality", "minhash"]
+_MODULES = ["toxicity", "packing", "decontam", "quality", "substring_dedup", "minhash"]
 
 
 def queries():
