@@ -10,7 +10,7 @@ import importlib
 
 from curbflow.llm.shipping import ship
 
-_MODULES = ["toxicity", "embedding_dedup", "packing", "decontam", "quality", "substring_dedup", "minhash"]
+_MODULES = ["toxicity", "embedding_dedup", "line_dedup", "packing", "decontam", "quality", "substring_dedup", "minhash"]
 
 
 def queries():
