@@ -10,7 +10,7 @@ import importlib
 
 from curbflow.llm.shipping import ship
 
-_MODULES = ["toxicity", "embedding_dedup", "line_dedup", "packing", "decontam", "quality", "pii", "substring_dedup", "minhash"]
+_MODULES = ["token_counts", "toxicity", "embedding_dedup", "line_dedup", "packing", "decontam", "quality", "pii", "substring_dedup", "minhash"]
 
 
 def queries():

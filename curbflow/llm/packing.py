@@ -3,8 +3,8 @@
 Documents become token ids, get an end id, and are cut into windows of ``capacity`` ids. Full
 windows leave at once. What remains of a document (shorter than a window) is placed whole: among
 the fill levels of the open windows it takes the level h that minimises the sum over all levels
-of squared counts of open windows, which comes down to the least N(h + size) - N(h), with a new
-window as level 0 and a filled window counting nothing. The counts N lie in a level array.
+of squared counts N of open windows, with a new window as level 0 and a filled window counting
+nothing. The counts lie in a level array.
 When a task's input ends, the windows that are still open are closed by cutting their pieces anew
 one after the other, so a task leaves at most one window that is not full. That last one is
 padded up to ``capacity``, or kept as it is where its length is a power of two.
@@ -45,12 +45,13 @@ class LevelPacker:
 
     def place(self, size: int) -> int:
         """The level to put a piece of ``size`` on; level 0 is a new window."""
+        # moving a window from h to h + size adds 2 (N(h + size) - N(h)) + 2 to the sum of squares
         counts, last = self.counts, self.capacity - size
-        cost = counts[size : size + last + 1] - counts[: last + 1]
-        cost[last] -= counts[size + last]  # a full window counts nothing
+        cost = 2 * (counts[size : size + last + 1] - counts[: last + 1]) + 2
+        cost[last] = 1 - 2 * counts[last]  # a full window counts nothing
         usable = counts[: last + 1] > 0
         usable[0] = True
-        cost[0] = counts[size] if size < self.capacity else 0
+        cost[0] = 2 * counts[size] + 1
         cost = np.where(usable, cost, np.iinfo(np.int64).max)
         # among equal costs the fullest window
         return last - int(np.argmin(cost[::-1]))
