@@ -1,39 +1,8 @@
 """Decontamination against brute force over windows."""
 
-import hashlib
-import re
-
 import pytest
 from curbflow.llm import decontam
-
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-
-
-def words(text):
-    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
-
-
-def brute(docs, items, window=10):
-    windows = {}
-    for item, text in items:
-        w = words(text)
-        if item is None or not w:
-            continue
-        k = min(window, len(w))
-        for i in range(len(w) - k + 1):
-            windows.setdefault(tuple(w[i : i + k]), set()).add(str(item))
-    sizes = {len(k) for k in windows}
-    out = []
-    for doc, text in docs:
-        w, hit, found = words(text), set(), set()
-        for k in sizes:
-            for i in range(len(w) - k + 1):
-                if tuple(w[i : i + k]) in windows:
-                    hit.update(range(i, i + k))
-                    found |= windows[tuple(w[i : i + k])]
-        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
-        out.append((doc, len(w), len(hit), len(found), digest, bool(hit)))
-    return sorted(out, key=repr)
+from llm_brute import decontam_brute as brute
 
 
 def result(frame):

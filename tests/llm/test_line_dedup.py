@@ -3,32 +3,7 @@
 import numpy as np
 import pytest
 from curbflow.llm import line_dedup
-
-
-def brute(docs, min_words):
-    """Texts after removal, by the longest run from each line that begins earlier, too."""
-    keys = sorted({(d is None, d or 0, t) for d, t in docs if t is not None}, key=lambda k: k[:2])
-    lines = [k[2].split("\n") for k in keys]
-    starts = {}
-    for a, own in enumerate(lines):
-        for i, line in enumerate(own):
-            starts.setdefault(line, []).append((a, i))
-    out = {}
-    for a, own in enumerate(lines):
-        gone = [False] * len(own)
-        for i in range(len(own)):
-            best = 0
-            for b, j in starts[own[i]]:
-                if (b, j) >= (a, i):
-                    break
-                n = 0
-                while i + n < len(own) and j + n < len(lines[b]) and own[i + n] == lines[b][j + n]:
-                    n += 1
-                best = max(best, n)
-            if best and sum(len(x.split()) for x in own[i : i + best]) >= min_words:
-                gone[i : i + best] = [True] * best
-        out[keys[a]] = ("\n".join(x for x, g in zip(own, gone) if not g), sum(gone))
-    return sorted(((d, *(out[(d is None, d or 0, t)] if t is not None else (None, 0))) for d, t in docs), key=repr)
+from llm_brute import line_brute as brute
 
 
 def rows(frame):

@@ -1,40 +1,9 @@
 """b-bit MinHash near-duplicates against all pairs on whole sets."""
 
-import re
-
 import numpy as np
 import pytest
 from curbflow.llm import minhash
-
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def shingles(text):
-    w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
-
-
-def brute(docs, percent):
-    sets = [(d, shingles(t)) for d, t in docs]
-    parent = {d: d for d, _ in docs if d is not None}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    holders = {}
-    for i, (_, s) in enumerate(sets):
-        for x in s:
-            holders.setdefault(x, []).append(i)
-    pairs = {(i, j) for h in holders.values() for i in h for j in h if i < j}
-    for i, j in pairs:
-        (a, s), (b, t) = sets[i], sets[j]
-        if a is not None and b is not None and 100 * len(s & t) >= percent * len(s | t):
-            a, b = sorted((root(a), root(b)))
-            parent[b] = a
-    return sorted(((d, len(s), root(d) if d is not None else None, d is None or root(d) == d) for d, s in sets), key=repr)
-
+from llm_brute import minhash_brute as brute
 
 def rows(frame):
     return sorted((tuple(r) for r in frame.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=repr)
@@ -75,3 +44,14 @@ def test_edge_cases(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string, signature string")
     assert rows(minhash.near_duplicates(frame)) == brute([d[:2] for d in docs], 80)
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_hot_group_in_blocks(spark, monkeypatch):
+    """A group whose smallest id is far from the others, compared in several blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    texts = variants(60, 3, 5)
+    texts[0] = " ".join(texts[0].split()[:-14] + ["z"] * 14)
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(minhash.near_duplicates(frame, 85)) == brute(docs, 85)
+    assert rows(minhash.near_duplicates(frame, 70)) == brute(docs, 70)
