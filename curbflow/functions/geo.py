@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 from functools import reduce
 
@@ -39,13 +40,13 @@ def _col(c: Column | str) -> Column:
 
 
 def has_numbers(columns: list[Column | str]) -> Column:
-    """Every column holds a number: neither null nor NaN.
+    """Every column holds a finite number: neither null, nor NaN, nor infinite.
 
-    NaN sorts above all numbers, so one comparison tests both, and Spark derives the null test
-    that reaches the scan from it. A condition is copied below the projections that compute
+    NaN sorts above all numbers, so the two comparisons test all of it, and Spark derives the null
+    test that reaches the scan from them. A condition is copied below the projections that compute
     its columns, and short ones keep the generated method small enough to be compiled.
     """
-    clauses = [_col(c) < F.lit(float("nan")) for c in columns]
+    clauses = [_col(c).between(F.lit(-sys.float_info.max), F.lit(sys.float_info.max)) for c in columns]
     return reduce(lambda a, b: a & b, clauses)
 
 
@@ -175,24 +176,42 @@ def geohash(lat: str, lon: str, precision: int = 8) -> Column:
 def geohash_centre(cell: Column | str) -> Column:
     """``struct(lat, lon)`` of the middle of a geohash of 1 to 12 letters, else null."""
     cell = F.lower(_col(cell))
-    letters = F.length(cell)
-    digits = F.translate(cell, GEOHASH_ALPHABET, BASE32_DIGITS)
-    bits = F.lpad(F.conv(digits, 32, 2), letters * 5, "0")
-    lon_text = F.regexp_replace(bits, "(.)(.?)", "$1")
-    lat_text = F.regexp_replace(bits, "(.)(.?)", "$2")
-
-    def middle(text: Column, low: float, span: float) -> Column:
-        index = F.conv(text, 2, 10).cast("bigint")
-        return F.lit(low) + (index + F.lit(0.5)) * F.lit(span) / F.pow(F.lit(2.0), F.length(text))
-
     valid = cell.rlike(f"^[{GEOHASH_ALPHABET}]{{1,12}}$")
-    return F.when(
-        valid,
-        F.struct(
-            middle(lat_text, -90.0, 180.0).alias("lat"),
-            middle(lon_text, -180.0, 360.0).alias("lon"),
-        ),
+    digits = F.translate(cell, GEOHASH_ALPHABET, BASE32_DIGITS)
+    # all letters as one integer of at most 60 bits, from which both axes are taken bit by bit
+    bits = F.when(valid, F.conv(digits, 32, 10)).cast("bigint")
+    return F.transform(F.array(F.struct(bits.alias("b"), F.length(cell).alias("n"))), _cell_middle)[0]
+
+
+def _every_other(bits: Column) -> Column:
+    """Bits 0, 2, 4, ... of a non-negative integer, moved together in five steps."""
+    bits = bits.bitwiseAND(F.lit(0x5555555555555555))
+    for shift, mask in (
+        (1, 0x3333333333333333),
+        (2, 0x0F0F0F0F0F0F0F0F),
+        (4, 0x00FF00FF00FF00FF),
+        (8, 0x0000FFFF0000FFFF),
+        (16, 0x00000000FFFFFFFF),
+    ):
+        bits = bits.bitwiseOR(F.shiftright(bits, shift)).bitwiseAND(F.lit(mask))
+    return bits
+
+
+def _cell_middle(cell: Column) -> Column:
+    """``struct(lat, lon)`` of the bits ``b`` of ``n`` letters; longitude has the first bit."""
+    total = cell["n"] * 5
+    odd = total % 2  # with an odd number of bits the last one is longitude's
+    low, high = _every_other(cell["b"]), _every_other(F.shiftright(cell["b"], 1))
+    lat, lon = F.when(odd == 1, high).otherwise(low), F.when(odd == 1, low).otherwise(high)
+
+    def middle(index: Column, count: Column, least: float, span: float) -> Column:
+        return F.lit(least) + (index + F.lit(0.5)) * F.lit(span) / F.pow(F.lit(2.0), count)
+
+    lat_bits = F.shiftright(total, 1)
+    place = F.struct(
+        middle(lat, lat_bits, -90.0, 180.0).alias("lat"), middle(lon, total - lat_bits, -180.0, 360.0).alias("lon")
     )
+    return F.when(cell["b"].isNotNull(), place)
 
 
 def parse_geo_point(text: Column | str) -> Column:
@@ -203,10 +222,11 @@ def parse_geo_point(text: Column | str) -> Column:
     """
     text = F.btrim(_col(text))
     pair = F.split(F.btrim(text, F.lit('[]" ')), ",")
-    first, second = (F.get(pair, i).try_cast("double") for i in (0, 1))
+    # numbers may come as text, each in its own quotes
+    first, second = (F.btrim(F.get(pair, i), F.lit('" ')).try_cast("double") for i in (0, 1))
     two, bracket = F.size(pair) == 2, text.startswith("[")
     parsed = (
-        F.when(text.startswith("{"), F.from_json(text, "lat double, lon double"))
+        F.when(text.startswith("{"), F.struct(*[F.get_json_object(text, f"$.{c}").try_cast("double").alias(c) for c in ("lat", "lon")]))
         .when(two & bracket & text.endswith("]"), F.struct(second.alias("lat"), first.alias("lon")))
         .when(two & ~bracket, F.struct(first.alias("lat"), second.alias("lon")))
         .otherwise(geohash_centre(F.btrim(text, F.lit('"'))))

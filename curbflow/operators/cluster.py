@@ -26,9 +26,6 @@ DEFAULT_HALF_LIFE = 5.0
 DYING_RATIO = 1e-8
 SPLIT_STEP = 1e-14
 
-# A model must fit in expressions and in one driver-side array.
-MAX_K = 10_000
-
 
 @dataclass(frozen=True)
 class Centres:
@@ -38,8 +35,8 @@ class Centres:
     weights: tuple[float, ...]
 
     def __post_init__(self):
-        if len(self.coords) != len(self.weights) or not 1 <= len(self.coords) <= MAX_K:
-            raise ValueError(f"a model needs 1 to {MAX_K} centres, each with a weight")
+        if len(self.coords) != len(self.weights) or not self.coords:
+            raise ValueError("a model needs centres, each with a weight")
 
     @property
     def k(self) -> int:
@@ -97,36 +94,37 @@ def _quoted(columns: tuple[str, ...]) -> list[str]:
     return [f"`{c}`" for c in columns]
 
 
-def _nearest(columns: list[str], centres: list[list[str]]) -> Column:
-    """The number of the nearest centre; points and centres are SQL terms.
-
-    One SQL text, because building k distances call by call takes longer than a small batch.
-    """
-    if len(centres) == 1:
-        return F.lit(0)
-    distances = ", ".join(_squared_distance(columns, c) for c in centres)
-    # the first position of the minimum: ties go to the lowest cluster
-    return F.expr(f"CAST(array_position(array({distances}), least({distances})) - 1 AS INT)")
-
-
-# Beyond this many centres the distances no longer fit in one generated method.
-INLINE_CENTRES = 64
+# So many centres are compared in one projection, whose generated method stays small.
+BLOCK_CENTRES = 32
 
 
-def _nearest_of(centres: Centres, columns: tuple[str, ...]) -> Column:
-    names = _quoted(columns)
-    terms = [[f"({float(x)!r}D)" for x in c] for c in centres.coords]
-    if centres.k <= INLINE_CENTRES:
-        return _nearest(names, terms)
-    model = ", ".join(f"array({', '.join(c)})" for c in terms)
-    distance = _squared_distance(names, [f"c[{j}]" for j in range(len(names))])
-    ranked = f"transform(array({model}), (c, i) -> struct({distance} AS d, i AS cluster))"
-    return F.expr(f"array_min({ranked}).cluster")
+def _with_nearest(points: DataFrame, columns: tuple[str, ...], centres: list[list[str]], name: str) -> DataFrame:
+    """Adds the number of the nearest centre; centres are lists of SQL terms.
 
-
-def nearest_centre(centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS) -> Column:
-    """The cluster of a point, with the centres in the expression; null for missing points."""
-    return F.when(has_numbers(list(columns)), _nearest_of(centres, columns))
+    Block by block: a projection holds the distances to a block of centres, the next takes their
+    minimum, and a third keeps the better of it and the blocks before. Each is used more than once
+    by the one above, so Spark leaves them apart, and every generated method stays small enough to
+    be compiled at any number of centres.
+    """
+    names, out = _quoted(columns), points
+    for start in range(0, len(centres), BLOCK_CENTRES):
+        block = centres[start : start + BLOCK_CENTRES]
+        distances = ", ".join(_squared_distance(names, c) for c in block)
+        out = out.withColumn("_distances", F.expr(f"array({distances})")).withColumn("_least", F.array_min("_distances"))
+        # the first position of the minimum, and earlier blocks: ties go to the lowest cluster
+        number = F.expr(f"CAST(array_position(_distances, _least) + {start - 1} AS INT)")
+        if start:
+            better = F.col("_least") < F.col("_best")
+            out = out.withColumns(
+                {"_number": F.when(better, number).otherwise(F.col("_number")), "_best": F.least("_best", "_least")}
+            )
+        else:
+            out = out.withColumns({"_number": number, "_best": F.col("_least")})
+    return out.select(*[f"`{c}`" for c in points.columns if c != name], F.coalesce("_number", F.lit(0)).alias(name))
+
+
+def _terms(centres: Centres) -> list[list[str]]:
+    return [[f"({float(x)!r}D)" for x in c] for c in centres.coords]
 
 
 def assign_clusters(
@@ -138,8 +136,7 @@ def assign_clusters(
     later join or filter on it would push a null test below this projection, and with it a
     second copy of all distances.
     """
-    cluster = F.coalesce(_nearest_of(centres, columns), F.lit(0))
-    return points.filter(has_numbers(list(columns))).withColumn("cluster", cluster)
+    return _with_nearest(points.filter(has_numbers(list(columns))), columns, _terms(centres), "cluster")
 
 
 def cluster_sums(
@@ -211,6 +208,12 @@ def window_range(points: DataFrame, ts: str, every: timedelta) -> tuple[datetime
     return (min(starts), max(starts)) if starts else None
 
 
+def filled_windows(points: DataFrame, ts: str, every: timedelta) -> set[datetime]:
+    """Starts of the windows that hold points, by one grouped pass over ``ts``."""
+    starts = points.select(window_start(ts, every).cast("timestamp_ntz").alias("start")).distinct()
+    return {r[0] for r in starts.collect()}
+
+
 def train_windows(
     points: DataFrame,
     centres: Centres,
@@ -224,18 +227,32 @@ def train_windows(
 ) -> Iterator[tuple[datetime, Centres]]:
     """Folds the model over the tumbling windows of ``ts``, oldest first.
 
-    Yields ``(window start, model after it)``. Windows without points fade the weights too.
+    Yields ``(window start, model after it)``. Windows without points fade the weights too, and
+    cost no Spark job: one pass finds the windows that hold points.
     Each step reads only its own time range: the bounds are literals on ``ts`` that reach the
     scan, so keep stored points sorted on time, or partitioned by it with ``prune`` giving the
     filter on the partition column. k rows per step reach the driver and the new centres go
     into the next step as literals, so plans do not grow.
     """
-    bounds = bounds or window_range(points, ts, every)
+    if bounds is not None:
+        first = timestamp_literal(points, ts, bounds[0])
+        span = (F.col(ts) >= first) & (F.col(ts) < timestamp_literal(points, ts, bounds[1] + every))
+        known = points.filter(span if prune is None else prune(bounds[0], bounds[1] + every) & span)
+    else:
+        known = points.filter(F.col(ts).isNotNull())
+    filled = filled_windows(known, ts, every)
     if bounds is None:
-        return
+        if not filled:
+            return
+        bounds = min(filled), max(filled)
     start, last = bounds
     while start <= last:
         end = start + every
+        if start not in filled:
+            centres = update_centres(centres, [], decay, unit, columns)
+            yield start, centres
+            start = end
+            continue
         inside = (F.col(ts) >= timestamp_literal(points, ts, start)) & (
             F.col(ts) < timestamp_literal(points, ts, end)
         )
@@ -266,26 +283,36 @@ def assign_with_history(
     ts: str = "ts",
     predict_first: bool = False,
     columns: tuple[str, ...] = POINT_COLUMNS,
+    start: Centres | None = None,
 ) -> DataFrame:
-    """Adds ``batch`` and ``cluster``, each window with its own model.
+    """Adds ``batch`` and ``cluster``, each window with its own model of ``k`` centres; no point is dropped for want
+    of one.
 
     The default trains on a window and then assigns it; ``predict_first`` assigns it with the
-    model of the window before. The model table has one wide row per window, so Spark
-    broadcasts it while its size allows and else joins on the window, where adaptive
-    execution splits a window that holds too many points.
+    model of the window before. Windows before the first trained model take the ``start`` model
+    (the first trained one if none is given), windows after the last one take the last. ``history`` holds every window from the first to the
+    last, as ``train_windows`` yields them. The model table has one row per window with its
+    centres as an array, so Spark broadcasts it while its size allows and else joins on the
+    window, where adaptive execution splits a window that holds too many points.
     """
-    shift = every if predict_first else timedelta(0)
-    names = [[f"_{i}_{c}" for c in columns] for i in range(k)]
-    start = F.col("batch") + F.expr(f"INTERVAL {int(shift.total_seconds())} SECONDS")
-    wide = history.groupBy(start.alias("batch")).agg(
-        *[
-            F.max(F.when(F.col("cluster") == i, F.col(c))).alias(f"_{i}_{c}")
-            for i in range(k)
-            for c in columns
-        ]
-    )
-    placed = points.filter(has_numbers(list(columns))).withColumn(
+    spark, shift = points.sparkSession, int((every if predict_first else timedelta(0)).total_seconds())
+    usable = history.withColumn("_model", F.col("batch") + F.expr(f"INTERVAL {shift} SECONDS"))
+    edges = usable.agg(F.min("_model"), F.max("_model")).first()
+    placed = points.filter(has_numbers(list(columns)) & F.col(ts).isNotNull()).withColumn(
         "batch", window_start(ts, every).cast("timestamp_ntz")
     )
-    nearest = _nearest(_quoted(columns), names)
-    return placed.join(wide, "batch").select(*points.columns, "batch", nearest.alias("cluster"))
+    if edges[0] is None:
+        if start is None:
+            raise ValueError("without a trained model a start model is needed")
+        return _with_nearest(placed, columns, _terms(start), "cluster")
+    known, before = usable.select("_model", "cluster", *columns), edges[0]
+    if start is not None:
+        before = edges[0] - every
+        moment = F.expr(f"TIMESTAMP_NTZ '{before:%Y-%m-%d %H:%M:%S.%f}'")
+        known = known.union(start.to_df(spark, columns).select(moment, "cluster", *columns))
+    models = known.groupBy("_model").agg(F.array_sort(F.collect_list(F.struct("cluster", *columns))).alias("_centres"))
+    at = [F.expr(f"TIMESTAMP_NTZ '{t:%Y-%m-%d %H:%M:%S.%f}'") for t in (before, edges[1])]
+    placed = placed.withColumn("_model", F.greatest(F.least(F.col("batch"), at[1]), at[0]))
+    names = [[f"_centres[{i}].`{c}`" for c in columns] for i in range(k)]
+    assigned = _with_nearest(placed.join(models, "_model"), columns, names, "cluster")
+    return assigned.select(*points.columns, "batch", "cluster")

@@ -48,11 +48,11 @@ def supply_demand(
 def with_centres(ratios: DataFrame, centres: Centres | DataFrame, on: list[str] = ("cluster",)) -> DataFrame:
     """Adds the place of each cluster.
 
-    A model object has at most ``MAX_K`` rows and is broadcast; a table of models is joined as
-    Spark sees fit.
+    A model's rows come from the driver with their true size, so Spark broadcasts them while that
+    is small; a table of models is joined as Spark sees fit.
     """
     if isinstance(centres, Centres):
-        centres = F.broadcast(centres.to_df(ratios.sparkSession))
+        centres = centres.to_df(ratios.sparkSession)
     return ratios.join(centres.drop("weight"), list(on))
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from curbflow.functions import predicates
 
-# Above this many ids a list becomes a table joined to the index.
-MAX_LISTED_IDS = 1000
-
 
 def search(
     df: DataFrame,
@@ -20,8 +19,11 @@ def search(
 ) -> DataFrame:
     """Documents that match, in order, the first ``size`` of them, only the chosen fields.
 
-    With a size each task keeps its own best rows, so no full sort takes place.
+    With a size each task keeps its own best rows, so no full sort takes place. A size needs an
+    order, else the rows would be arbitrary ones.
     """
+    if size is not None and not order:
+        raise ValueError("a size needs an order")
     hits = df.filter(predicates.match_all() if predicate is None else predicate)
     if order:
         hits = hits.orderBy(*order)
@@ -36,13 +38,14 @@ def search_total(df: DataFrame, predicate: Column | None = None) -> DataFrame:
 
 
 def get_by_ids(index: DataFrame, ids: list | DataFrame, id: str = "_id") -> DataFrame:
-    """Documents with one of the ids; a short list turns into a filter at the scan."""
-    if isinstance(ids, DataFrame):
-        return index.join(ids.select(id), id, "left_semi")
-    if len(ids) <= MAX_LISTED_IDS:
-        return index.filter(F.col(id).isin(list(ids)))
-    listed = index.sparkSession.createDataFrame([(i,) for i in ids], [id])
-    return get_by_ids(index, listed.withColumn(id, F.col(id).cast(index.schema[id].dataType)), id)
+    """Documents with one of the ids, with the columns of the index.
+
+    A list of any length becomes a table, which Spark broadcasts while it is small.
+    """
+    if not isinstance(ids, DataFrame):
+        kind = to_arrow_type(index.schema[id].dataType)
+        ids = index.sparkSession.createDataFrame(pa.table({id: pa.array(list(ids), kind)}))
+    return index.join(ids.select(id), id, "left_semi").select(*index.columns)
 
 
 def run_template(spark: SparkSession, text: str, args: dict) -> DataFrame:

@@ -17,7 +17,8 @@ SQL_DECAY = f"{DECAY!r}e0"
 START_WEIGHT = 10.0
 POINT_DECAY = 0.9999
 RANDOM_SEED = 7
-# Enough five-day windows for any month; windows past the last point change nothing.
+MANY = [(39.5 + i * 0.13, -74.5 + j * 0.11) for i in range(15) for j in range(20)]
+# The SQL has a block of entries for each window; it raises an error on longer data.
 SQL_WINDOWS = 8
 SQL_BATCH_NUMBER = f"CAST(floor(epoch(ts) / {EVERY.days * 86400}) AS BIGINT)"
 
@@ -47,6 +48,12 @@ def cluster_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("cluster", "n", F.round("sum_lat", 4).alias("sum_lat"), F.round("sum_lon", 4).alias("sum_lon"))
 
 
+def kmeans_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points by the nearest of 300 centres on a grid."""
+    assigned = c.assign_clusters(common.points(spark, sf_dir), c.given_centres(MANY))
+    return assigned.select("trip_id", "cluster")
+
+
 def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One update of the centres by all user points as one batch."""
     return _step(spark, sf_dir, DECAY)
@@ -72,9 +79,9 @@ def kmeans_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _assigned_in_turn(spark: SparkSession, sf_dir: str, predict_first: bool) -> DataFrame:
     history = c.history_df(spark, _fold(spark, sf_dir))
-    k = len(common.CENTRE_COORDS)
     points = common.points(spark, sf_dir).select("trip_id", "topic", "ts", "lat", "lon")
-    assigned = c.assign_with_history(points, history, k, EVERY, predict_first=predict_first)
+    start = common.centres()
+    assigned = c.assign_with_history(points, history, start.k, EVERY, predict_first=predict_first, start=start)
     return assigned.select("trip_id", F.date_format("batch", "yyyy-MM-dd").alias("batch"), "cluster")
 
 
@@ -84,7 +91,7 @@ def trained_then_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assigned_then_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each batch assigned by the model before it; the first batch has none."""
+    """Each batch assigned by the model before it; the first batch by the start model."""
     return _assigned_in_turn(spark, sf_dir, predict_first=True)
 
 
@@ -107,6 +114,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cluster_sums,
+        kmeans_many,
         kmeans_step,
         kmeans_no_decay,
         kmeans_point_decay,
@@ -158,7 +166,10 @@ def _sql_fold() -> str:
         f"SELECT edge.lo + {i - 1} AS b, m{i}.* FROM m{i}, edge WHERE edge.lo + {i - 1} <= edge.hi"
         for i in range(1, SQL_WINDOWS + 1)
     )
-    blocks.append(f"history AS ({union})")
+    blocks.append(
+        "history AS (SELECT h.* FROM (" + union + ") h, edge WHERE CASE WHEN edge.hi - edge.lo >= "
+        f"{SQL_WINDOWS} THEN error('more windows than this SQL has') ELSE TRUE END)"
+    )
     return ", ".join(blocks)
 
 
@@ -167,14 +178,18 @@ def _sql_batch(b: str) -> str:
 
 
 def _sql_assigned_in_turn(shift: int) -> str:
-    on = f"p.b = c.b + {shift}"
-    return f"""WITH {_sql_fold()}, {common.sql_assign('placed', 'history', 'result', on)}
+    on = f"greatest(least(p.b - {shift}, (SELECT hi FROM edge)), (SELECT lo FROM edge) - 1) = c.b"
+    models = """models AS (SELECT b, cluster, clat, clon FROM history
+  UNION ALL SELECT lo - 1 AS b, cluster, clat, clon FROM m0, edge)"""
+    return f"""WITH {_sql_fold()}, {models}, {common.sql_assign('placed', 'models', 'result', on)}
 SELECT trip_id, {_sql_batch('b')} AS batch, CAST(cluster AS INTEGER) AS cluster FROM result"""
 
 
 ORACLES = {
     "cluster_sums": f"""WITH {common.SQL_ASSIGNED}, {_USERS}, {_SUMS}
 SELECT CAST(cluster AS INTEGER) AS cluster, n, round(slat, 4) AS sum_lat, round(slon, 4) AS sum_lon FROM sums""",
+    "kmeans_many": f"""WITH {common.SQL_POINTS}, {common.sql_centres(MANY)}, {common.sql_assign('points', 'centres', 'assigned')}
+SELECT trip_id, CAST(cluster AS INTEGER) AS cluster FROM assigned""",
     "kmeans_step": _sql_step(SQL_DECAY),
     "kmeans_no_decay": _sql_step("1.0e0"),
     "kmeans_point_decay": _sql_step(f"pow({POINT_DECAY}e0, (SELECT sum(n) FROM sums))"),

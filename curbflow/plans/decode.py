@@ -21,7 +21,7 @@ from curbflow.sources.topics import (
     Topics,
     decode_delimited,
     decode_json,
-    decode_or_quarantine,
+    decode_tagged,
     decode_or_text,
     read_topics,
 )
@@ -54,10 +54,7 @@ def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded messages and, beside them, the undecodable ones."""
-    good, bad = decode_or_quarantine(_messy(spark, sf_dir), PROPS)
-    decoded = good.select("event_id", F.lit("good").alias("status"), "k", F.lit(None).cast("string").alias("value"))
-    quarantined = bad.select("event_id", F.lit("bad").alias("status"), F.lit(None).cast("bigint").alias("k"), "value")
-    return decoded.unionByName(quarantined)
+    return decode_tagged(_messy(spark, sf_dir), PROPS).select("event_id", "status", "k", "value")
 
 
 def json_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,15 +28,22 @@ def assigned_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common.assigned(spark, sf_dir).select("trip_id", "topic", "lat", "lon", "cluster")
 
 
-def supply_demand_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users, cars, their ratio and the place of each cluster, for points in box C."""
-    # the box leaves missing coordinates out as well
-    boxed = in_box(to_points(trips(spark, sf_dir)), "lat", "lon", BOX_C)
-    ratios = m.supply_demand(assign_clusters(boxed, common.centres()))
+def _placed_ratio(points: DataFrame) -> DataFrame:
+    ratios = m.supply_demand(assign_clusters(points, common.centres()))
     placed = m.with_centres(ratios, common.centres())
     return placed.select("cluster", "u_count", "c_count", F.round("ratio", 6).alias("ratio"), "lat", "lon")
 
 
+def supply_demand_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users, cars, their ratio and the place of each cluster, over all points."""
+    return _placed_ratio(to_points(trips(spark, sf_dir)))
+
+
+def supply_demand_boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for points in box C, which leaves missing coordinates out as well."""
+    return _placed_ratio(in_box(to_points(trips(spark, sf_dir)), "lat", "lon", BOX_C))
+
+
 def cluster_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster documents of each daily batch."""
     ratios = m.supply_demand(_batch(common.assigned(spark, sf_dir)), ["batch"])
@@ -112,6 +119,7 @@ QUERIES = {
     for f in (
         assigned_points,
         supply_demand_ratio,
+        supply_demand_boxed,
         cluster_documents,
         supply_demand_outer,
         cluster_counts,
@@ -136,15 +144,21 @@ predicted AS (SELECT {_DAY_TEXT} AS batch, topic, CAST(cluster AS INTEGER) AS cl
 pairs AS (SELECT batch, topic, cluster, keyed_points, predictions, keyed_points * predictions AS pairs
   FROM keyed JOIN predicted USING (batch, topic))"""
 
+
+
+def _sql_ratio(where: str) -> str:
+    return f"""WITH {common.SQL_ASSIGNED}, counted AS (
+  SELECT cluster, {_BY_TOPIC} FROM assigned WHERE {where} GROUP BY cluster)
+SELECT CAST(c.cluster AS INTEGER) AS cluster, u_count, c_count,
+  round(CAST(u_count AS DOUBLE) / c_count, 6) AS ratio, clat AS lat, clon AS lon
+FROM counted c JOIN centres USING (cluster) WHERE u_count > 0 AND c_count > 0"""
+
+
 ORACLES = {
     "assigned_points": f"""WITH {common.SQL_ASSIGNED}
 SELECT trip_id, topic, lat, lon, CAST(cluster AS INTEGER) AS cluster FROM assigned""",
-    "supply_demand_ratio": f"""WITH {common.SQL_ASSIGNED}, counted AS (
-  SELECT cluster, {_BY_TOPIC} FROM assigned
-  WHERE lat > 40 AND lat < 41 AND lon > -74 AND lon < -73 GROUP BY cluster)
-SELECT CAST(c.cluster AS INTEGER) AS cluster, u_count, c_count,
-  round(CAST(u_count AS DOUBLE) / c_count, 6) AS ratio, clat AS lat, clon AS lon
-FROM counted c JOIN centres USING (cluster) WHERE u_count > 0 AND c_count > 0""",
+    "supply_demand_ratio": _sql_ratio("TRUE"),
+    "supply_demand_boxed": _sql_ratio("lat > 40 AND lat < 41 AND lon > -74 AND lon < -73"),
     "cluster_documents": f"""WITH {common.SQL_ASSIGNED}, {_DAILY}
 SELECT batch, d.cluster, round(CAST(u_count AS DOUBLE) / c_count, 6) AS ratio, u_count, c_count,
   clat AS lat, clon AS lon

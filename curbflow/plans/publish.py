@@ -12,6 +12,7 @@ from curbflow.plans import common
 from curbflow.session import scratch_path
 from curbflow.sinks.index import (
     append_index,
+    counts_by,
     index_counts as count_indices,
     latest_by_id,
     merge_into_index,
@@ -105,15 +106,13 @@ def index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = trips(spark, sf_dir)
-    return count_indices(
+    by_topic = counts_by(trips(spark, sf_dir), "topic")
+    return by_topic.union(count_indices(
         {
-            "users": t.filter("topic = 'users'"),
-            "cars": t.filter("topic = 'cars'"),
             "documents": read_table(spark, sf_dir, "documents"),
             "conversations": read_table(spark, sf_dir, "conversations"),
         }
-    )
+    ))
 
 
 QUERIES = {

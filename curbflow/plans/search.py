@@ -16,7 +16,8 @@ from curbflow.sources.tables import read_table, register_views, trips
 TEXT_QUERY = "ALL about The search"
 # The pattern depends on parameters alone, so it is built and compiled once.
 TEMPLATE = """SELECT doc_id FROM documents WHERE lower(text) RLIKE concat(
-  :word_start, btrim(regexp_replace(lower(:query_string), :token_break, '|'), '|'), :word_end)"""
+  :word_start, btrim(regexp_replace(lower(:query_string), :token_break, '|'), '|'), :word_end)
+  AND btrim(regexp_replace(lower(:query_string), :token_break, '|'), '|') <> ''"""
 TEMPLATE_QUERY = "all about and search"
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from curbflow.functions.geo import parse_geo_point
 from curbflow.schemas import Field, mapping_type
+from curbflow.session import scratch_path
 from curbflow.sinks.streams import DEFAULT_INTERVAL, start
 
 
@@ -62,6 +63,11 @@ def index_counts(indices: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def counts_by(df: DataFrame, name: str) -> DataFrame:
+    """``(index, docs)`` of several indices that are kept in one table, in one pass."""
+    return df.groupBy(F.col(name).alias("index")).agg(F.count("*").alias("docs"))
+
+
 def append_index(df: DataFrame, path: str) -> None:
     """Appends documents without an id: writing the same batch again doubles it."""
     df.write.mode("append").parquet(path)
@@ -94,7 +100,7 @@ def upsert_index(existing: DataFrame, updates: DataFrame, id: str, order: list[s
     """
     latest = latest_by_id(updates, id, order)
     kept = existing.join(latest.select(id), id, "left_anti")
-    return kept.unionByName(latest.select(*existing.columns))
+    return kept.unionByName(latest).select(*existing.columns)
 
 
 def bucket_of(id: str, buckets: int) -> Column:
@@ -106,19 +112,31 @@ def merge_into_index(
 ) -> None:
     """Upserts into a stored index that is partitioned by a hash of the id.
 
-    Only the buckets that hold an updated id are read and rewritten. An index must keep the
-    bucket number it was created with.
+    Only the buckets that hold an updated id are read and rewritten. An index keeps the bucket
+    number it was created with; another one is refused. A stored document that comes after an
+    update in ``order`` stays. The new state of the buckets is written aside under the shared
+    folder first, so a failed rewrite can be repeated from there.
     """
     latest = latest_by_id(updates, id, order).withColumn("_bucket", bucket_of(id, buckets))
+    aside = scratch_path(spark, "updates")
+    latest.write.parquet(aside)
+    latest = spark.read.schema(latest.schema).parquet(aside)
     if not _path_exists(spark, path):
         latest.hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(path)
         return
     # at most `buckets` integers reach the driver
     touched = [r["_bucket"] for r in latest.select("_bucket").distinct().collect()]
-    stored = spark.read.parquet(path).filter(F.col("_bucket").isin(touched))
-    merged = stored.join(latest.select(id), id, "left_anti").unionByName(latest.select(*stored.columns))
+    index = spark.read.parquet(path)
+    # under another number hardly any row would lie in its bucket
+    if not index.limit(1000).filter(bucket_of(id, buckets) != F.col("_bucket")).isEmpty():
+        raise ValueError(f"the index at {path} has another number of buckets than {buckets}")
+    stored = index.filter(F.col("_bucket").isin(touched))
+    replaced = stored.join(latest.select(id), id, "left_semi").unionByName(latest)
+    merged = stored.join(latest.select(id), id, "left_anti").unionByName(latest_by_id(replaced, id, order))
+    aside = scratch_path(spark, "merge")
+    merged.select(*stored.columns).hint("rebalance", F.col("_bucket")).write.parquet(aside)
     (
-        merged.hint("rebalance", F.col("_bucket"))
+        spark.read.parquet(aside).hint("rebalance", F.col("_bucket"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_bucket")

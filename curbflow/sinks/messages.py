@@ -49,8 +49,11 @@ def write_topics(messages: DataFrame, target: Topics) -> None:
     if target.is_broker:
         writer.save()
     else:
-        by = [c for c in ("topic", "partition") if c in messages.columns]
-        writer.mode("append").partitionBy(*by).save(target.path)
+        writer.mode("append").partitionBy(*_folders(messages)).save(target.path)
+
+
+def _folders(messages: DataFrame) -> list[str]:
+    return [c for c in ("topic", "partition") if c in messages.columns]
 
 
 def stream_topics(
@@ -60,5 +63,5 @@ def stream_topics(
     if target.is_broker:
         return start(messages, target.format, checkpoint, interval=interval, **target.options)
     return start(
-        messages, target.format, checkpoint, target.path, interval, ["topic"], **target.options
+        messages, target.format, checkpoint, target.path, interval, _folders(messages), **target.options
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +78,42 @@ def decode_or_quarantine(
     return good, bad
 
 
+def decode_tagged(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Every message once: ``status`` good with its fields, or bad with its text."""
+    rest = [F.col(c) for c in df.columns if c != value]
+    bad = F.col("_bad")
+    fields = [F.when(~bad, F.col(f"_record.{f.name}")).alias(f.name) for f in schema.fields]
+    status = F.when(bad, "bad").otherwise("good").alias("status")
+    return _parsed(df, schema, value).select(*rest, status, *fields, F.when(bad, F.col(value)).alias(value))
+
+
+def decode_lenient(
+    df: DataFrame,
+    schema: T.StructType,
+    aliases: dict[str, tuple[str, ...]] | None = None,
+    value: str = "value",
+) -> DataFrame:
+    """Every message once, field by field: ``status``, the declared fields, and the text of bad ones.
+
+    A value that does not fit its field, such as a name where a number is due, makes that field
+    null and not the message bad; numbers may come as text. A field is found under its own name
+    or an alias. Bad are only values that are no JSON object.
+    """
+    aliases = aliases or {}
+    names = {f.name: (f.name, *aliases.get(f.name, ())) for f in schema.fields}
+    texts = T.StructType([T.StructField(n, T.StringType()) for many in names.values() for n in many])
+    parsed = _parsed(df, texts, value)
+    rest = [F.col(c) for c in df.columns if c != value]
+    bad = F.col("_bad")
+
+    def field(f: T.StructField) -> Column:
+        text = F.coalesce(*[F.col(f"_record.{n}") for n in names[f.name]])
+        return F.when(~bad, text.try_cast(f.dataType)).alias(f.name)
+
+    status = F.when(bad, "bad").otherwise("good").alias("status")
+    return parsed.select(*rest, status, *map(field, schema.fields), F.when(bad, F.col(value)).alias(value))
+
+
 def decode_or_text(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Decoded fields for every message; ``raw_text`` keeps the text of undecodable ones."""
     rest = [F.col(c) for c in df.columns if c != value]

@@ -17,7 +17,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.functions.geo import BOX_C, Box
+from curbflow.functions.geo import BOX_C, Box, has_numbers
 from curbflow.functions.text import arrival_text, iso_millis
 from curbflow.operators.clean import (
     default_coords,
@@ -39,7 +39,7 @@ from curbflow.schemas import (
 )
 from curbflow.sinks.index import apply_mapping
 from curbflow.sinks.messages import delimited, json_record, to_messages
-from curbflow.sources.topics import decode_delimited, decode_or_quarantine
+from curbflow.sources.topics import decode_delimited, decode_lenient
 
 # Topic names.
 USERS = "users"
@@ -66,9 +66,24 @@ def trip_messages(trips: DataFrame) -> DataFrame:
 
 def decoded_trips(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(trips, undecodable messages)."""
-    good, bad = decode_or_quarantine(messages.select("topic", "value"), TRIP_MESSAGE)
+    tagged = decode_lenient(messages.select("topic", "value"), TRIP_MESSAGE, {"VendorID": ("vendor_id",)})
+    good, bad = tagged.filter("status = 'good'").drop("status", "value"), tagged.filter("status = 'bad'")
     ts = F.try_to_timestamp("timestamp", F.lit(SPACE_MILLIS))
-    return good.withColumns({"vendor_id": F.col("VendorID"), "ts": ts}), bad
+    return good.withColumns({"vendor_id": F.col("VendorID"), "ts": ts}), bad.select("topic", "value")
+
+
+def quarantined_messages(messages: DataFrame) -> DataFrame:
+    """What the point jobs leave out, for a sink of its own: messages that are no JSON object, and
+    points without a finite place or a readable time, each with the reason."""
+    trips, bad = decoded_trips(messages)
+    points = to_points(trips)
+    whole = has_numbers(["lat", "lon"])
+    reason = F.when(~F.coalesce(whole, F.lit(False)), "place").when(F.col("ts").isNull(), "time")
+    lost = points.withColumn("reason", reason).filter("reason IS NOT NULL")
+    fields = [f.name for f in TRIP_MESSAGE.fields]
+    return bad.select("topic", "value", F.lit("json").alias("reason")).union(
+        lost.select("topic", json_record(fields).alias("value"), "reason")
+    )
 
 
 def trip_points(messages: DataFrame) -> DataFrame:

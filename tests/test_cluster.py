@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from curbflow.operators import cluster as c
 from curbflow.operators.metrics import supply_demand, vendor_pair_counts, with_centres
@@ -22,7 +23,7 @@ def brute(point, centres):
     return min(range(len(centres)), key=lambda i: sum((a - b) ** 2 for a, b in zip(point, centres[i])))
 
 
-@pytest.mark.parametrize("k", [1, 2, 8, 64, 65, 150])
+@pytest.mark.parametrize("k", [1, 2, 8, 32, 33, 64, 65, 150, 300])
 def test_nearest_centre_equals_brute_force(spark, k):
     centres = c.given_centres(cloud(k, seed=k))
     rows = cloud(300)
@@ -33,9 +34,8 @@ def test_nearest_centre_equals_brute_force(spark, k):
 
 def test_ties_go_to_the_lowest_cluster_and_missing_points_to_none(spark):
     centres = c.given_centres([(0.0, 1.0), (0.0, -1.0)])
-    df = frame(spark, [(0.0, 0.0), (None, 0.0), (0.0, None), (float("nan"), 0.0)])
+    df = frame(spark, [(0.0, 0.0), (None, 0.0), (0.0, None), (float("nan"), 0.0), (float("inf"), 0.0), (0.0, float("-inf"))])
     assert [r["cluster"] for r in c.assign_clusters(df, centres).collect()] == [0]
-    assert [r[0] for r in df.select(c.nearest_centre(centres)).collect()] == [0, None, None, None]
 
 
 @pytest.mark.parametrize("unit,decay", [("batches", 0.87), ("batches", 1.0), ("points", 0.999)])
@@ -173,3 +173,29 @@ def test_centres_round_trip(spark):
     model = c.Centres(((1.5, -2.5), (1e-14, 1e20)), (0.25, 3.0))
     assert c.Centres.from_rows(model.to_df(spark).collect()) == model
     assert model.to_df(spark).count() == model.k
+
+
+def test_windows_without_a_model_of_their_own_take_the_nearest_earlier_one(spark):
+    rows = [(h, 40.0 + h / 100, -74.0) for h in (1, 7, 20)]
+    df = spark.createDataFrame(rows, "h int, lat double, lon double").selectExpr(
+        "lat", "lon", "h", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, h) AS ts"
+    )
+    start, every = c.given_centres([(40.0, -74.0), (10.0, 10.0)]), timedelta(hours=6)
+    trained = c.given_centres([(10.0, 10.0), (40.0, -74.0)])
+    history = c.history_df(spark, [(datetime(2024, 1, 1, 6), trained)])
+    got = c.assign_with_history(df, history, 2, every, start=start).collect()
+    assert {r["h"]: r["cluster"] for r in got} == {1: 0, 7: 1, 20: 1}
+    got = c.assign_with_history(df, history, 2, every, predict_first=True, start=start).collect()
+    assert {r["h"]: r["cluster"] for r in got} == {1: 0, 7: 0, 20: 1}
+
+
+def test_empty_windows_cost_no_job(spark):
+    df = spark.createDataFrame([(1.0, 1.0, "2024-01-01 00:00:00"), (1.0, 1.0, "2024-01-01 00:05:00")], "lat double, lon double, t string")
+    df = df.withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    tracker, group = spark.sparkContext.statusTracker(), "empty-windows"
+    spark.sparkContext.setJobGroup(group, group)
+    history = list(c.train_windows(df, c.given_centres([(0.0, 0.0)]), timedelta(seconds=5), 0.5))
+    jobs = tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(history) == 61 and len(jobs) <= 8
+    assert history[1][1].weights == (0.5,)
