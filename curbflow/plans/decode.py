@@ -84,6 +84,25 @@ def point_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_point_files(spark, path).groupBy("x", "y").agg(F.count("*").alias("n"))
 
 
+def trips_csv_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip files of two layouts in one folder: other names, another order, other fields."""
+    t = trips(spark, sf_dir)
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    old = t.filter("trip_id % 2 = 0").select(
+        F.col("vendor_id").cast("string").alias("vendor_id"), stamp.alias("pickup_datetime"), "trip_distance", "pickup_latitude"
+    )
+    new = t.filter("trip_id % 2 = 1").select(
+        "pickup_latitude", F.lit(0.5).alias("extra"), F.col("vendor_id").cast("string").alias("VendorID"), stamp.alias("tpep_pickup_datetime")
+    )
+    path = scratch_path(spark, "layouts")
+    for frame in (old, new):
+        frame.write.mode("append").options(header="true", emptyValue="").csv(path)
+    read = read_trips_csv(spark, path)
+    return read.select(
+        "vendor_id", F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_datetime"), "trip_distance", "pickup_latitude", "surcharge"
+    )
+
+
 def trips_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip files with a header, rows with a field too many and rows of nothing but commas."""
     t = trips(spark, sf_dir)
@@ -214,6 +233,7 @@ QUERIES = {
         enriched_decode,
         point_text_roundtrip,
         trips_csv_scan,
+        trips_csv_layouts,
         documents_load,
         null_defaults,
         iso_timestamps,
@@ -240,6 +260,10 @@ SELECT CAST(cluster AS INTEGER) AS cluster, lat, lon, {common.SQL_ISO} AS time_s
 FROM assigned WHERE topic = 'users'""",
     "point_text_roundtrip": f"""WITH {common.SQL_TRIPS}
 SELECT dropoff_latitude AS x, dropoff_longitude AS y, count(*) AS n FROM trips GROUP BY ALL""",
+    "trips_csv_layouts": f"""WITH {common.SQL_TRIPS}
+SELECT CAST(vendor_id AS VARCHAR) AS vendor_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS pickup_datetime,
+  CASE WHEN trip_id % 2 = 0 THEN trip_distance END AS trip_distance, pickup_latitude,
+  CASE WHEN trip_id % 2 = 1 THEN 0.5e0 END AS surcharge FROM trips""",
     "trips_csv_scan": f"""WITH {common.SQL_TRIPS},
 kept AS (SELECT *, trip_id % 113 <> 0 AS given FROM trips WHERE trip_id % 127 <> 0 OR trip_id % 113 = 0)
 SELECT CASE WHEN given THEN CAST(vendor_id AS VARCHAR) END AS vendor_id,

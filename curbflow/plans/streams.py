@@ -13,9 +13,9 @@ from curbflow.plans import clustering, common, publish, spatial
 from curbflow.session import scratch_path
 from curbflow.sinks.archive import stream_archive
 from curbflow.sinks.index import stream_index
-from curbflow.sinks.messages import stream_topics
+from curbflow.sinks.messages import stream_topics, write_topics
 from curbflow.sources.files import read_index
-from curbflow.sources.tables import as_trips, stream_table
+from curbflow.sources.tables import as_trips, stream_table, trips
 from curbflow.sources.topics import Topics, read_topics
 from curbflow.streaming import jobs, training
 
@@ -111,6 +111,30 @@ def stream_filter_republish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_topics(spark, folder, [jobs.CARS]).select("topic", "value")
 
 
+def republished_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Republished messages, whose numbers are text, read back as points."""
+    run = Run(spark, "roundtrip")
+    folder = run.topic_folder("topics")
+    messages = jobs.trip_messages(trips(spark, sf_dir))
+    write_topics(jobs.republished_messages(messages), folder)
+    points = jobs.trip_points(read_topics(spark, folder, [jobs.CARS]))
+    return points.select("lat", "lon", "trip_distance", arrival_text("ts").alias("timestamp"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream of messages, some cut short, keeps and what goes to quarantine, and why."""
+    run = Run(spark, "quarantine")
+    cut = F.when(F.col("key").cast("long") % 83 == 0, F.expr("left(value, 20)")).otherwise(F.col("value"))
+    messages = run.messages(sf_dir).withColumn("value", cut)
+    lost = jobs.quarantined_messages(messages)
+    run.finish(stream_index(lost, run.path("lost"), run.path("checkpoint-1"), interval=None))
+    kept = jobs.trip_points(messages).select("topic", "trip_id", "ts")
+    run.finish(stream_index(kept, run.path("kept"), run.path("checkpoint-2"), interval=None))
+    good = read_index(spark, run.path("kept")).filter("ts IS NOT NULL").select("topic", F.lit("none").alias("reason"))
+    every = good.union(read_index(spark, run.path("lost")).select("topic", "reason"))
+    return every.groupBy("topic", "reason").agg(F.count("*").alias("n"))
+
+
 def stream_trip_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geohash documents of both topics."""
     run = Run(spark, "trip-index")
@@ -190,6 +214,8 @@ QUERIES = {
         stream_enriched_index,
         stream_event_index,
         stream_filter_republish,
+        republished_roundtrip,
+        stream_quarantine,
         stream_trip_index,
         stream_point_archive,
         stream_training,
@@ -206,6 +232,12 @@ _TRAINED = (
 )
 
 ORACLES = {
+    "republished_roundtrip": f"""WITH {common.SQL_TRIPS}
+SELECT dropoff_latitude AS lat, dropoff_longitude AS lon, trip_distance, {common.SQL_ARRIVAL} AS timestamp
+FROM trips WHERE pickup_latitude > 40 AND pickup_latitude < 41 AND pickup_longitude > -74 AND pickup_longitude < -73""",
+    "stream_quarantine": f"""WITH {common.SQL_ALL_POINTS}
+SELECT topic, CASE WHEN trip_id % 83 = 0 THEN 'json' WHEN lat IS NULL OR lon IS NULL THEN 'place' ELSE 'none' END AS reason,
+  count(*) AS n FROM all_points GROUP BY ALL""",
     "stream_filter_republish": publish.ORACLES["filtered_json_messages"],
     "stream_trip_index": spatial.ORACLES["trip_documents"],
     "stream_tumbling_counts": f"""WITH {common.SQL_TRIPS}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,28 +29,39 @@ def read_trips_csv(
 
     Columns are found by header name, under their own name or an alias. Rows with more
     fields than the header are skipped, shorter ones are padded with nulls, empty lines are
-    skipped, and values that do not fit the declared type become null. All files of one call
-    share one header; files of another layout are another call and a ``unionByName``.
+    skipped, and values that do not fit the declared type become null. Every file has its own
+    header: files of several layouts may lie in one path. One pass finds the first line of every
+    file; the distinct headers, one for each layout, reach the driver.
     """
-    lines = spark.read.text(path)
-    first = lines.first()
-    if first is None:
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    numbered = lines.filter("_start = 0").withColumn("_at", F.monotonically_increasing_id())
+    headers = numbered.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
+    layouts = sorted(r[0] for r in headers.select("_header").distinct().collect())
+    if not layouts:
         return spark.createDataFrame([], schema)
-    header_line = first["value"]
-    header = [name.strip().strip('"').lstrip("\ufeff") for name in header_line.split(sep)]
-    raw = ", ".join(f"`{name}` STRING" for name in header)
-    rows = lines.filter(
-        (F.col("value") != header_line)
-        & (F.length("value") > 0)
-        & (_field_count(F.col("value"), sep) <= len(header))
-    )
-    rows = rows.select(F.from_csv("value", raw, {"sep": sep}).alias("r"))
+    if len(layouts) == 1:
+        rows = lines.withColumn("_header", F.lit(layouts[0]))
+    else:
+        rows = lines.join(headers, "_file")
+    rows = rows.filter((F.col("value") != F.col("_header")) & (F.length("value") > 0))
+    names = [[n.strip().lstrip("\ufeff") for n in next(csv.reader([line], delimiter=sep))] for line in layouts]
+    fields = _field_count(F.col("value"), sep)
+    parsed = []
+    for line, header in zip(layouts, names):
+        raw = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(header))])
+        fits = (F.col("_header") == F.lit(line)) & (fields <= len(header))
+        parsed.append(F.when(fits, F.from_csv("value", raw.simpleString()[7:-1].replace(":", " "), {"sep": sep})))
+    rows = rows.select(*[p.alias(f"r{k}") for k, p in enumerate(parsed)])
+    rows = rows.filter(reduce(lambda a, b: a | b, [F.col(f"r{k}").isNotNull() for k in range(len(layouts))]))
 
     def typed(f: T.StructField) -> Column:
-        for name in (f.name, *aliases.get(f.name, ())):
-            if name in header:
-                return F.col("r").getField(name).try_cast(f.dataType).alias(f.name)
-        return F.lit(None).cast(f.dataType).alias(f.name)
+        values = []
+        for k, header in enumerate(names):
+            at = next((header.index(n) for n in (f.name, *aliases.get(f.name, ())) if n in header), None)
+            if at is not None:
+                values.append(F.col(f"r{k}").getField(f"_{at}").try_cast(f.dataType))
+        value = F.coalesce(*values) if values else F.lit(None).cast(f.dataType)
+        return value.alias(f.name)
 
     return rows.select(*[typed(f) for f in schema.fields])
 

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, duck
+from curbflow import plans
 
-NAMES = list(entry.queries())
+NAMES = list(plans.queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,8 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(plans.queries()) == set(plans.oracle_sql())
+    assert set(plans.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

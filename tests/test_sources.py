@@ -150,3 +150,22 @@ def test_topic_folders_read_only_what_is_subscribed(spark, tmp_path):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_layouts_in_one_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('vendor_id,pickup_latitude,"a, quoted name"\nVTS,40.5,"x, y"\nCMT,40.6,z\n')
+    (tmp_path / "b.csv").write_text("pickup_latitude,VendorID\n41.5,2\n41.6,1,too many\n41.7\n")
+    rows = read_trips_csv(spark, str(tmp_path)).select("vendor_id", "pickup_latitude").collect()
+    assert sorted(map(tuple, rows), key=repr) == [("2", 41.5), ("CMT", 40.6), ("VTS", 40.5), (None, 41.7)]
+
+
+def test_lenient_decoding_nulls_only_the_field(spark):
+    from curbflow.sources.topics import decode_lenient
+
+    schema = T.StructType([T.StructField("VendorID", T.DoubleType()), T.StructField("lat", T.DoubleType())])
+    texts = ['{"VendorID":"VTS","lat":"40.5"}', '{"vendor_id":2,"lat":1}', "[1]", "no json", '{"lat":{"a":1}}', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    got = {r["i"]: tuple(r)[1:] for r in decode_lenient(df, schema, {"VendorID": ("vendor_id",)}).collect()}
+    assert got[0] == ("good", None, 40.5, None) and got[1] == ("good", 2.0, 1.0, None)
+    assert got[3] == ("bad", None, None, "no json") and got[4][:3] == ("good", None, None)
+    assert got[5][0] == "bad"
