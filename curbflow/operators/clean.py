@@ -99,10 +99,10 @@ def last_days(df: DataFrame, ts: str, days: int, now: datetime | None = None) ->
     return df.filter((F.col(ts) >= start) & (F.col(ts) <= timestamp_literal(df, ts, now)))
 
 
-def to_event_document(assigned: DataFrame, time_stamp: str = "time_stamp") -> DataFrame:
-    """``{cluster, location: {lat, lon}, time_stamp}``."""
+def to_event_document(assigned: DataFrame, time_stamp: str = "time_stamp", keep: list[str] = ()) -> DataFrame:
+    """``{cluster, location: {lat, lon}, time_stamp}``, and the columns to keep."""
     location = F.struct(F.col("lat"), F.col("lon")).alias("location")
-    return assigned.select("cluster", location, F.col(time_stamp).alias("time_stamp"))
+    return assigned.select("cluster", location, F.col(time_stamp).alias("time_stamp"), *keep)
 
 
 def to_trip_document(trips: DataFrame, precision: int = 8) -> DataFrame:

@@ -56,10 +56,10 @@ def with_centres(ratios: DataFrame, centres: Centres | DataFrame, on: list[str]
     return ratios.join(centres.drop("weight"), list(on))
 
 
-def to_cluster_document(placed: DataFrame) -> DataFrame:
-    """``{cluster, ratio, u_count, c_count, location: {lat, lon}}``."""
+def to_cluster_document(placed: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """``{cluster, ratio, u_count, c_count, location: {lat, lon}}``, and the columns to keep."""
     location = F.struct("lat", "lon").alias("location")
-    return placed.select("cluster", "ratio", "u_count", "c_count", location)
+    return placed.select("cluster", "ratio", "u_count", "c_count", location, *keep)
 
 
 def vendor_pair_counts(

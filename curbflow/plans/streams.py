@@ -206,6 +206,48 @@ def stream_trained_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    run = Run(spark, f"trained-{name}")
+    _trained(run, sf_dir)
+    folders = (run.path("landed"), run.path("models"), run.path("out"))
+    training.publish_trained(spark, *folders, len(common.CENTRE_COORDS), EVERY, "day")
+    return training.read_published(spark, run.path(f"out/{name}")).withColumn("batch", F.date_format("batch", "yyyy-MM-dd"))
+
+
+def trained_event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed event documents of both topics, by the model that learned their window."""
+    return _published(spark, sf_dir, "events").select(
+        "batch",
+        "topic",
+        "cluster",
+        F.col("location.lat").alias("lat"),
+        F.col("location.lon").alias("lon"),
+        arrival_text("time_stamp").alias("time_stamp"),
+    )
+
+
+def trained_enriched_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text messages of the user points with their trained cluster."""
+    messages = _published(spark, sf_dir, "enriched")
+    parts = F.split("value", ",")
+    return messages.select(
+        "batch", "topic", "key", F.get(parts, 1).cast("double").alias("lat"), F.get(parts, 2).cast("double").alias("lon"), F.get(parts, 3).alias("time_stamp")
+    )
+
+
+def trained_cluster_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed cluster documents with their place as a geo point."""
+    return _published(spark, sf_dir, "clusters").select(
+        "batch",
+        "cluster",
+        "u_count",
+        "c_count",
+        F.round("ratio", 6).alias("ratio"),
+        F.round("location.lat", 6).alias("lat"),
+        F.round("location.lon", 6).alias("lon"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -220,6 +262,9 @@ QUERIES = {
         stream_point_archive,
         stream_training,
         stream_trained_documents,
+        trained_event_documents,
+        trained_enriched_messages,
+        trained_cluster_documents,
     )
 }
 
@@ -231,7 +276,15 @@ _TRAINED = (
     " <= (SELECT epoch(max(ts)) FROM points) - 3600)"
 )
 
+_RESULT = f"{_FOLD}, {_TRAINED}, {common.sql_assign('placed', 'closed', 'result', 'p.b = c.b')}"
+
 ORACLES = {
+    "trained_event_documents": f"""WITH {_RESULT}
+SELECT {clustering._sql_batch('b')} AS batch, topic, CAST(cluster AS INTEGER) AS cluster, lat, lon,
+  {common.SQL_ARRIVAL} AS time_stamp FROM result""",
+    "trained_enriched_messages": f"""WITH {_RESULT}
+SELECT {clustering._sql_batch('b')} AS batch, 'usersenriched' AS topic, CAST(cluster AS VARCHAR) AS key, lat, lon,
+  {common.SQL_ISO} AS time_stamp FROM result WHERE topic = 'users'""",
     "republished_roundtrip": f"""WITH {common.SQL_TRIPS}
 SELECT dropoff_latitude AS lat, dropoff_longitude AS lon, trip_distance, {common.SQL_ARRIVAL} AS timestamp
 FROM trips WHERE pickup_latitude > 40 AND pickup_latitude < 41 AND pickup_longitude > -74 AND pickup_longitude < -73""",
@@ -270,3 +323,4 @@ SELECT {clustering._sql_batch('c.b')} AS batch, CAST(c.cluster AS INTEGER) AS cl
   round(CAST(u_count AS DOUBLE) / c_count, 6) AS ratio, round(clat, 6) AS lat, round(clon, 6) AS lon
 FROM counted c JOIN closed m ON c.b = m.b AND c.cluster = m.cluster WHERE u_count > 0 AND c_count > 0""",
 }
+ORACLES["trained_cluster_documents"] = ORACLES["stream_trained_documents"]

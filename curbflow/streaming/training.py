@@ -5,8 +5,9 @@ Three steps, each restartable from what it has already written:
 1. ``land_points`` streams points into a table partitioned by time.
 2. ``train_closed_windows`` folds the model over the windows that are complete and newer than
    the last trained one, and appends the models it made.
-3. ``publish_closed_windows`` writes the demand/supply documents of the windows that have a
-   model but no documents.
+3. ``publish_trained`` writes the event documents, enriched messages and typed cluster documents
+   of the windows that have a model but no documents; ``publish_closed_windows`` writes flat
+   demand/supply documents alone.
 
 A window is trained before it is assigned. A replayed step finds its windows done, so none is
 learned from twice. Points that arrive after their window was trained stay in the landed
@@ -21,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from curbflow.operators.clean import timestamp_literal
+from curbflow.functions.text import arrival_text, iso_millis
+from curbflow.operators.clean import timestamp_literal, to_event_document
 from curbflow.operators.cluster import (
     POINT_COLUMNS,
     Centres,
@@ -30,8 +32,11 @@ from curbflow.operators.cluster import (
     train_windows,
     window_range,
 )
-from curbflow.operators.metrics import supply_demand, with_centres
-from curbflow.sinks.index import _path_exists
+from curbflow.operators.metrics import supply_demand, to_cluster_document, with_centres
+from curbflow.schemas import CLUSTER_MAPPING, ENRICHED_FIELDS, EVENT_MAPPING, Field
+from curbflow.session import reliable_checkpoint
+from curbflow.sinks.index import _path_exists, apply_mapping
+from curbflow.sinks.messages import delimited
 from curbflow.sinks.streams import DEFAULT_INTERVAL, start
 
 # Partition texts of the landed table. They sort as the times do.
@@ -136,14 +141,80 @@ def publish_closed_windows(
     spark: SparkSession, landed: str, models: str, index: str, k: int, every: timedelta, grain: str = "hour"
 ) -> None:
     """Appends the documents of the windows that have a model but no documents yet."""
+    history = _unpublished(spark, models, index)
+    assigned = _assigned_points(spark, landed, history, k, every, grain)
+    if assigned is None:
+        return
+    documents = with_centres(
+        supply_demand(assigned, ["batch"]),
+        history.select("batch", "cluster", *POINT_COLUMNS),
+        ["batch", "cluster"],
+    )
+    documents.write.mode("append").parquet(index)
+
+
+def publish_trained(
+    spark: SparkSession, landed: str, models: str, out: str, k: int, every: timedelta, grain: str = "hour"
+) -> None:
+    """All outputs of the windows that have a model but no cluster documents yet, from one
+    assignment by the models that learned them:
+
+    ``out/events`` typed event documents of both topics, ``out/enriched`` text messages of the
+    user points keyed by cluster, ``out/clusters`` typed cluster documents. Each output has a
+    folder per window, which a repeated step replaces as a whole, and the cluster documents, which
+    mark a window as done, come last.
+    """
+    clusters = f"{out}/clusters"
+    history = _unpublished(spark, models, clusters)
+    assigned = _assigned_points(spark, landed, history, k, every, grain)
+    if assigned is None:
+        return
+    assigned = reliable_checkpoint(spark, assigned.withColumn("time_stamp", iso_millis(arrival_text("ts"))))
+    rest = [Field("topic", "string"), Field("batch", "timestamp_ntz")]
+    _replace(apply_mapping(to_event_document(assigned, keep=["topic", "batch"]), [*EVENT_MAPPING, *rest]), f"{out}/events")
+    users = assigned.filter("topic = 'users'")
+    messages = users.select(
+        F.col("cluster").cast("string").alias("key"), delimited(ENRICHED_FIELDS).alias("value"), F.lit("usersenriched").alias("topic"), "batch"
+    )
+    _replace(messages, f"{out}/enriched")
+    placed = with_centres(
+        supply_demand(assigned, ["batch"]), history.select("batch", "cluster", *POINT_COLUMNS), ["batch", "cluster"]
+    )
+    documents = apply_mapping(to_cluster_document(placed, ["batch"]), [Field("batch", "timestamp_ntz"), *CLUSTER_MAPPING])
+    _replace(documents, clusters)
+
+
+def _replace(df: DataFrame, path: str) -> None:
+    """Writes whole windows; a window that was written before is replaced."""
+    stamped = df.withColumn("batch", F.date_format("batch", "yyyy-MM-dd'T'HH-mm-ss"))
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch").parquet(path)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """One output of ``publish_trained``, with ``batch`` as a timestamp again."""
+    stored = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(path)
+    return stored.withColumn("batch", F.to_timestamp_ntz(F.col("batch").cast("string"), F.lit("yyyy-MM-dd'T'HH-mm-ss")))
+
+
+def _unpublished(spark: SparkSession, models: str, index: str) -> DataFrame:
+    """The models of the windows after the last one in the index."""
     history = spark.read.parquet(models)
     if _path_exists(spark, index):
-        done = spark.read.parquet(index).agg(F.max("batch")).first()[0]
+        stored = read_published(spark, index) if index.endswith("/clusters") else spark.read.parquet(index)
+        done = stored.agg(F.max("batch")).first()[0]
         if done is not None:
             history = history.filter(F.col("batch") > timestamp_literal(history, "batch", done))
+    return history
+
+
+def _assigned_points(
+    spark: SparkSession, landed: str, history: DataFrame, k: int, every: timedelta, grain: str
+) -> DataFrame | None:
+    """The landed points of the windows in ``history``, each with its window's cluster."""
     edges = history.agg(F.min("batch").alias("a"), F.max("batch").alias("b")).first()
     if edges["a"] is None:
-        return
+        return None
     points = read_landed(spark, landed)
     begin, end = edges["a"], edges["b"] + every
     inside = (
@@ -151,10 +222,4 @@ def publish_closed_windows(
         & (F.col("ts") >= timestamp_literal(points, "ts", begin))
         & (F.col("ts") < timestamp_literal(points, "ts", end))
     )
-    assigned = assign_with_history(points.filter(inside), history, k, every)
-    documents = with_centres(
-        supply_demand(assigned, ["batch"]),
-        history.select("batch", "cluster", *POINT_COLUMNS),
-        ["batch", "cluster"],
-    )
-    documents.write.mode("append").parquet(index)
+    return assign_with_history(points.filter(inside), history, k, every)
