@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.groups import components, sorted_groups, stored
+from curbflow.llm.groups import components, least_linked, sorted_groups, stored
 from curbflow.llm.textbytes import mixed
 
 COSINE = 0.95
@@ -130,7 +130,7 @@ def _linked(cosine: float, width: int):
             if not close.any():
                 continue
             i, j = np.nonzero(close)
-            label = _labels(ids[a], left[i] - low, right[j] - low)
+            label = least_linked(ids[a], left[i] - low, right[j] - low)
             fresh = np.ones(len(i), bool)
             for t in range(int(number[low])):
                 fresh &= codes[left[i], t] != codes[right[j], t]
@@ -145,18 +145,6 @@ def _linked(cosine: float, width: int):
     return lambda batches: sorted_groups(batches, "group", work)
 
 
-def _labels(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The least id that each vector reaches within the block."""
-    label = ids.copy()
-    while True:
-        new = label.copy()
-        np.minimum.at(new, i, label[j])
-        np.minimum.at(new, j, label[i])
-        if (new == label).all():
-            return label
-        label = new
-
-
 def links(classes: DataFrame, width: int, cosine: float) -> DataFrame:
     """(id, links, least) rows for classes (id, weight, embedding) of vectors of one width."""
     spark = classes.sparkSession

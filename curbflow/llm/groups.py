@@ -56,6 +56,41 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def block_pairs(members: DataFrame, key: str, own: str, block: int) -> DataFrame:
+    """``members`` dealt out so that any two rows of a key meet in some ``group`` of bounded size.
+
+    A key of more than ``block`` rows is cut into blocks by the hash of ``own``, and a group is a
+    pair of blocks (or one block with itself). In a group of two blocks ``second`` tells them apart
+    and only pairs across need a look; there are as many copies of a row as its key has blocks.
+    """
+    sizes = members.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+    placed = members.join(sizes, key).withColumn("_blocks", F.expr(f"CAST(ceil(_n / {block}) AS INT)"))
+    placed = placed.withColumn("_own", F.pmod(F.xxhash64(own), F.col("_blocks")))
+    other = F.explode(F.expr("IF(_blocks = 1, array(0), sequence(0, _blocks - 1))")).alias("_other")
+    dealt = placed.select("*", other).withColumn("second", F.col("_own") > F.col("_other")).withColumn(
+        "group", F.xxhash64(key, F.least("_own", "_other"), F.greatest("_own", "_other"))
+    )
+    return dealt.drop("_n", "_blocks", "_own", "_other").repartition("group").sortWithinPartitions("group")
+
+
+def sides(second: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two sides to compare of the group in rows [low, high): its blocks, or one with itself."""
+    rows = np.arange(low, high)
+    return (rows[~second[low:high]], rows[second[low:high]]) if second[low:high].any() else (rows, rows)
+
+
+def least_linked(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least id that each row reaches over the links i - j."""
+    label = ids.copy()
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        if (new == label).all():
+            return label
+        label = new
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str, work: Callable[[pa.Table], Iterator[pa.RecordBatch]]):
     """Calls ``work`` with the rows of whole key groups of a partition that is sorted by ``key``.
 

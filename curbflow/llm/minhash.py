@@ -10,12 +10,12 @@ Documents with equal sets form a class, and only one member of a class takes par
 joined by two 64-bit sums over the set). Within a bucket nobody is paired with everybody:
 
 1. every member is paired with the bucket's smallest id, and confirmed links form components;
-2. members of buckets that still span several components are paired with their most similar
-   member of another component, and components grow again;
-3. what then still spans components is compared pair by pair across components only.
+2. in buckets that still span several components, members with a good estimate across components
+   are picked out, and only these are compared on their full sets, across components, block
+   against block within tasks. A block gives each member the least id that it is linked with.
 
-After the last step every candidate pair is within one component or was tested, so components
-are those of all candidate pairs. Bands find a pair at the threshold with a probability over
+No pairs are written in the second step, and after it every candidate pair is within one component
+or was tested, so components are those of all candidate pairs. Bands find a pair at the threshold with a probability over
 0.9999 (25 bands of 5 rows).
 
 Defined results: null or empty texts have an empty set and link with nothing; so does a null id,
@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm import textbytes as tb
-from curbflow.llm.groups import components, sorted_groups, stored
+from curbflow.llm.groups import block_pairs, components, least_linked, sides, sorted_groups, stored
 
 WORDS, ROWS, BANDS, BITS = 5, 5, 25, 4
 HASHES = ROWS * BANDS
 MARGIN = 0.16  # an estimate may lie so far below the threshold: over four standard deviations
+BLOCK = 512  # members that are compared with one another at once
 BROADCAST_IDS = 200_000  # ids that are broadcast at most; more are joined by shuffle
 
 _LONGS = -(-HASHES * BITS // 64)
@@ -126,10 +127,9 @@ def estimate(a: str, b: str) -> str:
     return f"(((1D - {count} / {HASHES}D) - {chance}D) / {1 - chance}D)"
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have a Jaccard similarity of at least ``percent`` / 100."""
-    spark = docs.sparkSession
-    ids = stored(spark, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids``."""
+    ids = stored(docs.sparkSession, ids.select("doc_id").distinct(), "ids")
     few = ids.count() <= BROADCAST_IDS
     some = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(ids) if few else ids, "doc_id")
 
@@ -145,7 +145,12 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                     names=["doc_id", "shingles"],
                 )
 
-    sets = stored(spark, some.mapInArrow(task, "doc_id long, shingles array<long>"), "sets")
+    return stored(docs.sparkSession, some.mapInArrow(task, "doc_id long, shingles array<long>"), "sets")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have a Jaccard similarity of at least ``percent`` / 100."""
+    sets = full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     whole = F.size("set_a") + F.size("set_b") - both
@@ -153,40 +158,26 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * both.cast("long") >= percent * whole.cast("long")).select("a", "b").distinct()
 
 
-def across(members: DataFrame, least: float, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of members of one bucket but different components, with a good estimate.
-
-    Block by block, never a whole square at once. ``nearest`` gives each member's best pair only.
-    """
+def _promising(least: float):
+    """(key, doc_id) of members with a good estimate with a member of another component."""
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         column = lambda name: table.column(name).to_numpy()
-        key, ids, parts = column("key"), column("doc_id"), column("component")
-        codes = np.stack(table.column("signature").to_numpy()).view(np.uint64)
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        group, second, parts = column("group"), column("second"), column("component")
+        codes = table.column("signature").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(group), -1)
+        hit = np.zeros(len(group), bool)
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
         for low, high in zip(edges, edges[1:]):
-            for start in range(low, high, 256):
-                rows = np.arange(start, min(start + 256, high))
-                best, partner = np.full(len(rows), -1.0), np.zeros(len(rows), np.int64)
-                for begin in range(low, high, 2048):
-                    other = np.arange(begin, min(begin + 2048, high))
-                    value = _similarity(codes[rows], codes[other])
-                    value[parts[rows][:, None] == parts[other][None]] = -1
-                    if nearest:
-                        at = value.argmax(1)
-                        top = value[np.arange(len(rows)), at]
-                        partner = np.where(top > best, other[at], partner)
-                        best = np.maximum(best, top)
-                    else:
-                        i, j = np.nonzero((value >= least) & (ids[rows][:, None] < ids[other][None]))
-                        if len(i):
-                            yield _pairs(ids[rows[i]], ids[other[j]])
-                if nearest and (good := best >= least).any():
-                    yield _pairs(ids[rows[good]], ids[partner[good]])
-
-    task = lambda batches: sorted_groups(batches, "key", work)
-    dealt = members.repartition("key").sortWithinPartitions("key", "doc_id")
-    return dealt.mapInArrow(task, "a long, b long").distinct()
+            left, right = sides(second, low, high)
+            for k in range(0, len(left), 128):
+                rows = left[k : k + 128]
+                good = _similarity(codes[rows], codes[right]) >= least
+                good &= parts[rows][:, None] != parts[right][None]
+                hit[rows] |= good.any(1)
+                hit[right] |= good.any(0)
+        yield pa.RecordBatch.from_arrays([pa.array(column("key")[hit]), pa.array(column("doc_id")[hit])], names=["key", "doc_id"])
+
+    return lambda batches: sorted_groups(batches, "group", work)
 
 
 def _similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -198,8 +189,41 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal - 2.0**-BITS) / (1 - 2.0**-BITS)
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+def _linked(percent: int):
+    """(a, b): members and the least id each is linked with in its block, on full sets."""
+
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        column = lambda name: table.column(name).to_numpy()
+        group, second, parts, ids = column("group"), column("second"), column("component"), column("doc_id")
+        lists = table.column("shingles").combine_chunks()
+        flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        sizes = np.diff(at)
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+        for low, high in zip(edges, edges[1:]):
+            left, right = sides(second, low, high)
+            if high - low < 2 or not len(left) or not len(right):
+                continue
+            holder = np.repeat(np.arange(len(right)), sizes[right])
+            words = np.concatenate([flat[at[r] : at[r + 1]] for r in right])
+            order = np.argsort(words, kind="stable")
+            words, holder = words[order], holder[order]
+            i, j = [], []
+            for k in left:  # common shingles with all of the other side at once
+                own = flat[at[k] : at[k + 1]]
+                begin, end = np.searchsorted(words, own), np.searchsorted(words, own, side="right")
+                many = end - begin
+                inner = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+                both = np.bincount(holder[np.repeat(begin, many) + inner], minlength=len(right))
+                good = (100 * both >= percent * (sizes[k] + sizes[right] - both)) & (parts[right] != parts[k])
+                j.append(right[good])
+                i.append(np.full(int(good.sum()), k))
+            i, j = np.concatenate(i), np.concatenate(j)
+            if len(i):
+                label = least_linked(ids[low:high], i - low, j - low)
+                some = label != ids[low:high]
+                yield pa.RecordBatch.from_arrays([pa.array(label[some]), pa.array(ids[low:high][some])], names=["a", "b"])
+
+    return lambda batches: sorted_groups(batches, "group", work)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -225,16 +249,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     stars = members.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     links = stored(spark, confirmed(docs, stored(spark, estimated(stars), "pairs"), percent), "links")
     joined = components(spark, links)
-    for nearest in (True, False):
-        placed = members.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-            "key", "doc_id", F.coalesce("component_id", "doc_id").alias("component")
-        )
-        split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        open_ = placed.join(split.select("key"), "key").join(code, "doc_id")
-        pairs = stored(spark, across(open_, least, nearest), "pairs")
-        if pairs.isEmpty():
-            break
-        links = links.union(stored(spark, confirmed(docs, pairs, percent), "links"))
+    placed = members.select("key", "doc_id").join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "key", "doc_id", F.coalesce("component_id", "doc_id").alias("component")
+    )
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    open_ = stored(spark, placed.join(split.select("key"), "key"), "open")
+    met = block_pairs(open_.join(code, "doc_id"), "key", "doc_id", BLOCK)
+    picked = stored(spark, met.mapInArrow(_promising(least), "key long, doc_id long").distinct(), "picked")
+    if not picked.isEmpty():
+        sets = full_sets(docs, picked).dropDuplicates(["doc_id"])
+        met = block_pairs(picked.join(open_, ["key", "doc_id"]), "key", "doc_id", BLOCK).join(sets, "doc_id")
+        met = met.repartition("group").sortWithinPartitions("group")
+        links = links.union(stored(spark, met.mapInArrow(_linked(percent), "a long, b long").distinct(), "links"))
         joined = components(spark, links)
     out = rows.drop("signature", "bands").join(classes, named, "left").join(joined.withColumnRenamed("id", "class"), "class", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "class", "doc_id"))
