@@ -262,5 +262,26 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("found").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("found.item"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        F.coalesce(F.array_max("found.words"), F.lit(0)).alias("longest_match"),
     )
+
+
+_SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SQL_WORDS = rf"regexp_extract_all({_SQL_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES = {
+    "op6_decontaminate": f"""WITH w AS (SELECT doc_id, {_SQL_WORDS} AS ws FROM documents),
+items AS (SELECT item_id, {_SQL_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+sized AS (SELECT item_id, ws, least({WINDOW}, len(ws)) AS k FROM items WHERE len(ws) > 0),
+windows AS (SELECT DISTINCT item_id, k, ws[i:i + k - 1] AS win
+  FROM (SELECT item_id, k, ws, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM sized)),
+places AS (SELECT doc_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i
+  FROM w, (SELECT DISTINCT k FROM windows)),
+dw AS (SELECT doc_id, k, i, ws[i:i + k - 1] AS win FROM places),
+found AS (SELECT doc_id, item_id, dw.k, i FROM dw JOIN windows USING (k, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+}

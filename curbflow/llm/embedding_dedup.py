@@ -202,3 +202,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLES = {
+    "op3_embedding_dedup": f"""WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= {COSINE}),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, vec_id = coalesce(c, vec_id) AS kept
+FROM embeddings e LEFT JOIN least l ON e.vec_id = l.a LEFT JOIN counts k ON e.vec_id = k.a"""
+}
