@@ -361,3 +361,20 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(docs).select(
         F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+ORACLES = {
+    "op9_substring_dedup": f"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS byte,
+    CASE WHEN 2 * (i + {LENGTH}) <= len(h) THEN substr(h, CAST(2 * i + 1 AS BIGINT), {2 * LENGTH}) END AS win
+  FROM (SELECT doc_id, h, unnest(range(len(h) // 2)) AS i FROM d)),
+m AS (SELECT win, min(doc_id) AS least FROM b WHERE win IS NOT NULL GROUP BY win),
+f AS (SELECT doc_id, i, byte, coalesce(least < doc_id, false) AS flag FROM b LEFT JOIN m USING (win)),
+c AS (SELECT doc_id, i, byte,
+    bool_or(flag) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {LENGTH - 1} PRECEDING AND CURRENT ROW) AS gone FROM f),
+g AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS first FROM c),
+r AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (first) AS n_spans,
+    string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept FROM g GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN r USING (doc_id)"""
+}
