@@ -40,7 +40,6 @@ LENGTH, GRAM = 50, 16
 BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 2 << 20
 NO_ID = np.iinfo(np.int64).max  # stands for a null id
-BROADCAST_ROWS = 200_000  # documents with requested texts that are broadcast at most
 
 # Packed rows. An anchor, with the run of strings that it stands for: the lower half of the gram's
 # hash, a fingerprint of the run's text, the document's number in the block, the run's first byte,
@@ -306,8 +305,6 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "spans",
     )
     wanted = found.where("request").select("id", "key", "starts", "ends", "shards")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
     asked = docs.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), "key", "text").join(wanted, ["id", "key"]).select("id", "key", "text", "starts", "ends", "shards")
     texts = asked.mapInArrow(_fetch, "shard long, id long, key int, at long, body binary").distinct()
     compared = texts.repartition(parts, "shard").sortWithinPartitions("shard", "id").mapInArrow(_compare(length), _SPANS_SCHEMA)
