@@ -101,9 +101,11 @@ def common_prefixes(lines: DataFrame, levels: list[DataFrame]) -> DataFrame:
     previous = array.select((F.col("x") + 1).alias("x"), F.col("g").alias("p"), F.col("first").alias("first_p"))
     pairs = array.join(previous, "x").where("first = first_p").select("g", "p")
     pairs = stored(spark, pairs, "neighbours")
-    # the prefix follows from the line before where its neighbour lies before this one's neighbour
+    # the prefix follows from the line before where its neighbour lies before this one's neighbour,
+    # and neither stretch ends between: the next number belongs to another stretch
     ends = lines.select("g", "last")
-    inherited = pairs.join(ends, "g").where("g < last").select((F.col("g") + 1).alias("g"), (F.col("p") + 1).alias("p"), F.lit(True).alias("follows"))
+    whole = pairs.join(ends, "g").join(ends.toDF("p", "last_p"), "p").where("g < last AND p < last_p")
+    inherited = whole.select((F.col("g") + 1).alias("g"), (F.col("p") + 1).alias("p"), F.lit(True).alias("follows"))
     pairs = pairs.join(inherited, ["g", "p"], "left")
     own = pairs.where("follows IS NULL").join(ends, "g").join(ends.toDF("p", "last_p"), "p")
     own = stored(spark, own.select("g", "p", "last", "last_p", F.lit(0).cast("long").alias("l")), "own")

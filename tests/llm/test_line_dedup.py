@@ -30,6 +30,19 @@ def test_random_runs(spark, seed):
     assert rows(line_dedup.deduplicate(frame, 4)) == brute(docs, 4)
 
 
+def test_earlier_copy_ends_within_the_later_one(spark):
+    """The next line of the later copy has its copy at the start of another stretch."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(12)) for x in "abcd")
+    for docs in (
+        [(1, f"{a}\n{b}\nonce\n{c}\n{d}"), (2, f"{a}\n{b}\n{c}\n{d}")],
+        [(1, f"{a}\n{b}"), (2, f"{c}\n{d}"), (3, f"{a}\n{b}\n{c}\n{d}")],
+    ):
+        frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+        got = rows(line_dedup.deduplicate(frame))
+        assert got == brute(docs, line_dedup.MIN_WORDS)
+        assert got[-1][1:] == ("", 4)
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(60))
     docs = [
