@@ -100,17 +100,19 @@ class TokenLedger:
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after three batches over all documents: every document comes in; copies of a text with
-    a smaller id go; the others' counts are revised for an end token. The deletions come twice."""
+    a smaller id go; the others' counts are revised for an end token. The deletions come twice.
+
+    A null text is a text of its own without tokens. A null id comes after all others."""
     import public_tokenizers
 
     name = "word_bpe_49k.json"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", "text")
-    keyed = docs.select("*", F.xxhash64("text").alias("a"), F.crc32(F.reverse("text")).alias("b"))
+    keyed = docs.select("*", F.xxhash64("text").alias("a"), F.coalesce(F.crc32(F.reverse("text")), F.lit(-1)).alias("b"))
     counted = count_tokens(keyed, public_tokenizers.path(name)).select("row.doc_id", "row.source", "row.lang", "row.a", "row.b", "n_tokens")
     counted = stored(spark, counted, "counts")
     first = counted.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
     seen = counted.join(first, ["a", "b"]).select(
-        F.col("doc_id").alias("change_id"), "source", "lang", F.lit(name).alias("tokenizer"), "n_tokens", (F.col("doc_id") > F.col("first")).alias("copy")
+        F.col("doc_id").alias("change_id"), "source", "lang", F.lit(name).alias("tokenizer"), "n_tokens", F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull()).alias("copy")
     )
     none = F.lit(None).cast("long").alias("old_n_tokens")
     inserts = seen.select("change_id", F.lit("insert").alias("op"), *GROUP, "n_tokens", none)

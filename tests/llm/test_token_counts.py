@@ -27,6 +27,16 @@ def test_query_on_whole_tables(spark, sf_dir):
     assert got == {k[:3]: (want[(*k[:3], 0)], want[(*k[:3], 1)]) for k in want if k[3] == 0}
 
 
+def test_null_texts_and_ids(spark, tmp_path):
+    rows = [(1, "s", "en", None), (2, "s", "en", None), (3, "s", "en", ""), (None, "t", "en", "one"), (None, "t", "en", "one"), (4, "u", "en", "two"), (None, "u", "en", "two")]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    bpe = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    one, two = (len(bpe.encode(t, add_special_tokens=False).ids) for t in ("one", "two"))
+    got = sorted(tuple(r) for r in token_counts.op1_token_counts(spark, str(tmp_path)).collect())
+    name = "word_bpe_49k.json"
+    assert got == [("s", "en", name, 2, 2), ("t", "en", name, 2, 2 * one + 2), ("u", "en", name, 1, two + 1)]
+
+
 def test_batches_are_applied_once_and_in_any_order(spark, tmp_path):
     first = spark.createDataFrame(
         [
