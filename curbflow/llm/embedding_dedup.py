@@ -8,8 +8,10 @@ vectors with equal pieces meet in a bucket. There the original vectors are compa
 cosine in double precision, block against block.
 
 Pieces grow with the logarithm of the number of vectors, so buckets of unrelated vectors stay
-small at any size, and the number of rotations follows from the wanted chance that two vectors at
-the threshold meet (``FOUND``). A bucket of more than ``BLOCK`` vectors is dealt out as pairs of
+small at any size. Centring widens the angles where vectors share a direction, so the number of
+rotations is measured: vectors of the sample get partners at the threshold, and rotations are added
+until the wanted share of them (``FOUND``) meets. Where that takes more tables than ``TABLES`` and
+than there are blocks of vectors, all vectors are one bucket, and every pair is compared. A bucket of more than ``BLOCK`` vectors is dealt out as pairs of
 blocks, each a task's group of its own. A pair that meets in several tables counts in the first.
 Pairs are never written: blocks give each vector's number of links and its least relative.
 
@@ -38,30 +40,70 @@ STEPS = 30
 FOUND = 0.98
 SPARE_BITS = 4
 BLOCK = 1024
+TABLES = 256
+PARTNERS = 2000  # vectors that get partners at the threshold, at most; others than those where there are enough
 
 
-def learn(sample: np.ndarray, pieces: int, piece_bits: int, rotations: int, steps: int = STEPS):
-    """(mean, projections): of each rotation the matrix from vectors to code values."""
+def learn(sample: np.ndarray, pieces: int, piece_bits: int, steps: int = STEPS):
+    """(mean, projections without end): of each rotation the matrix from vectors to code values."""
     mean = sample.mean(0)
     centred = sample - mean
     bits = min(pieces * piece_bits, sample.shape[1])
     _, axes = np.linalg.eigh(centred.T @ centred)
     axes = axes[:, ::-1][:, :bits]
-    v = centred @ axes
-    rng = np.random.default_rng(11)
+
+    def projections() -> Iterator[np.ndarray]:
+        v = centred @ axes
+        rng = np.random.default_rng(11)
+        while True:
+            r = np.linalg.qr(rng.normal(size=(bits, bits)))[0]
+            for _ in range(steps):
+                codes = np.where(v @ r >= 0, 1.0, -1.0)
+                a, _, b = np.linalg.svd(codes.T @ v)
+                r = (a @ b).T
+            yield axes @ r
+
+    return mean, projections()
+
+
+def at_threshold(sample: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Vectors of the sample and partners at ``cosine``, apart in any direction or as the sample's own vectors are."""
+    rng = np.random.default_rng(12)
+    own = sample[-PARTNERS:]
     out = []
-    for _ in range(rotations):
-        r = np.linalg.qr(rng.normal(size=(bits, bits)))[0]
-        for _ in range(steps):
-            codes = np.where(v @ r >= 0, 1.0, -1.0)
-            a, _, b = np.linalg.svd(codes.T @ v)
-            r = (a @ b).T
-        out.append(axes @ r)
-    return mean, out
+    for apart in (rng.normal(size=own.shape), sample[rng.integers(0, len(sample), len(own))] - sample[rng.integers(0, len(sample), len(own))]):
+        apart = apart - (apart * own).sum(1, keepdims=True) * own
+        size = np.sqrt((apart * apart).sum(1, keepdims=True))
+        some = size[:, 0] > 1e-6
+        if some.any():
+            out.append((own[some], cosine * own[some] + math.sqrt(1 - cosine * cosine) * apart[some] / size[some]))
+    return out
+
+
+def fitted(sample: np.ndarray, count: int, cosine: float):
+    """(model, pieces, bits of a piece) by which ``FOUND`` of the partners meet; None as model: compare all."""
+    pieces, bits, rotations = plan(count, sample.shape[1], cosine)
+    mean, source = learn(sample[:FIT_ROWS], pieces, bits)
+    most = max(TABLES, math.ceil(count / BLOCK))
+    pairs = at_threshold(sample, cosine)
+    met = [np.zeros(len(u), bool) for u, _ in pairs]
+    agree = [np.zeros(len(u)) for u, _ in pairs]
+    out: list[np.ndarray] = []
+    while len(out) < rotations or any(m.mean() < FOUND for m in met):
+        if len(out) >= rotations:
+            expected = [1 - ((1 - (a / len(out)) ** bits) ** most).mean() for a in agree]
+            if (len(out) + 1) * pieces > most or min(expected) < FOUND:
+                return None, 1, bits
+        p = next(source)
+        out.append(p)
+        for m, a, (u, w) in zip(met, agree, pairs):
+            m |= (keys(u, (mean, [p]), pieces, bits) == keys(w, (mean, [p]), pieces, bits)).any(1)
+            a += (((u - mean) @ p >= 0) == ((w - mean) @ p >= 0)).mean(1)
+    return (mean, out), pieces, bits
 
 
 def plan(count: int, width: int, cosine: float) -> tuple[int, int, int]:
-    """(pieces, bits of a piece, rotations) for ``count`` vectors of ``width``."""
+    """(pieces, bits of a piece, least rotations) for ``count`` vectors of ``width``."""
     bits = max(1, min(width, 63, math.ceil(math.log2(max(2, count))) + SPARE_BITS))
     pieces = max(1, min(width, 256) // bits)
     agree = 1 - math.acos(cosine) / math.pi
@@ -71,6 +113,8 @@ def plan(count: int, width: int, cosine: float) -> tuple[int, int, int]:
 
 def keys(vectors: np.ndarray, model, pieces: int, piece_bits: int) -> np.ndarray:
     """One key for each vector and table; keys of different tables differ."""
+    if model is None:
+        return np.zeros((len(vectors), 1), np.uint64)
     mean, projections = model
     out = []
     for r, p in enumerate(projections):
@@ -149,9 +193,8 @@ def links(classes: DataFrame, width: int, cosine: float) -> DataFrame:
     """(id, links, least) rows for classes (id, weight, embedding) of vectors of one width."""
     spark = classes.sparkSession
     count = classes.count()
-    pieces, bits, rotations = plan(count, width, cosine)
-    rows = classes.select("embedding").orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).toPandas()["embedding"]
-    model = learn(_unit(np.stack(rows.to_list()).astype(float)), pieces, bits, rotations)
+    rows = classes.select("embedding").orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS + PARTNERS).toPandas()["embedding"]
+    model, pieces, bits = fitted(_unit(np.stack(rows.to_list()).astype(float)), count, cosine)
     schema = "id long, weight long, embedding array<double>, keys array<long>"
     coded = stored(spark, classes.mapInArrow(_coded(model, pieces, bits, width), schema), "codes")
     spread = coded.select("id", F.posexplode("keys").alias("table", "key"))

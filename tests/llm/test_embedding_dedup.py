@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from curbflow.llm import embedding_dedup
 
 
@@ -61,6 +62,26 @@ def test_recall_at_the_threshold(spark):
     assert found / sum(r[1] for r in brute(rows)) >= 0.9
 
 
+@pytest.mark.parametrize("shared", [0.5, 0.81, 0.9])
+def test_recall_with_a_common_direction(spark, shared):
+    """Centring widens the angle between vectors that share a direction; shared is their squared mean."""
+    rng = np.random.default_rng(5)
+    mean = rng.normal(size=64)
+    mean *= math.sqrt(shared) / np.linalg.norm(mean)
+    rows = []
+    for k in range(150):
+        u = rng.normal(size=64)
+        u = mean + math.sqrt(1 - shared) * u / np.linalg.norm(u)
+        u /= np.linalg.norm(u)
+        w = rng.normal(size=64)
+        w -= (w @ u) * u
+        w /= np.linalg.norm(w)
+        rows += [(2 * k, u.tolist()), (2 * k + 1, (0.952 * u + math.sqrt(1 - 0.952**2) * w).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sum(r[1] for r in got(embedding_dedup.near_duplicates(frame)))
+    assert found / sum(r[1] for r in brute(rows)) >= 0.95
+
+
 def test_large_group_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     rng = np.random.default_rng(4)
