@@ -6,8 +6,10 @@ doubling sorts their suffixes as Spark jobs: each round names the pairs (rank, r
 on) by a distributed sort of the distinct pairs, whose row numbers are the new ranks. Neighbours
 in the final order give the longest common prefixes: those that follow from the suffix one line
 before (its prefix less one line) are taken over, and only the others are found, by descending
-through the stored ranks of all rounds. A pass with a stack over each group of suffixes with one
-first line turns the prefix intervals into the longest run that also begins at an earlier place.
+through the stored ranks of all rounds. Passes with a stack over ranges of the suffix array turn
+the prefix intervals into the longest run that also begins at an earlier place. Ranges have at most
+``RANGE`` suffixes, whatever lines they start with; what a range must know of all others is, for
+each length of common prefix at its two ends, the earliest place beyond that shares it.
 
 A run goes when it begins at an earlier place, too (smaller doc_id, then text, then line), and
 holds at least ``min_words`` words; the first copy stays. A line that lies in any such run is
@@ -32,6 +34,7 @@ from pyspark.sql import types as T
 from curbflow.llm.groups import sorted_groups, stored
 
 MIN_WORDS = 10
+RANGE = 1 << 16
 
 _KEY = ["id", "key"]
 
@@ -84,7 +87,7 @@ def prefix_doubling(lines: DataFrame) -> list[DataFrame]:
 
 
 def common_prefixes(lines: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(first, x, g, lcp): the suffix array by x with common prefixes of neighbours, in lines."""
+    """(range, x, g, lcp): the suffix array by x with common prefixes of neighbours, in lines."""
     spark = lines.sparkSession
     order = levels[-1].join(levels[0].toDF("g", "first"), "g")
     order = order.repartitionByRange("r", "g").sortWithinPartitions("r", "g").withColumn("m", F.monotonically_increasing_id())
@@ -97,7 +100,6 @@ def common_prefixes(lines: DataFrame, levels: list[DataFrame]) -> DataFrame:
     array = order.withColumn("p", part).join(F.broadcast(offsets), "p").select(
         (F.col("b") + F.col("m").bitwiseAND((1 << 33) - 1)).alias("x"), "g", "first"
     )
-    array = stored(spark, array, "array")
     previous = array.select((F.col("x") + 1).alias("x"), F.col("g").alias("p"), F.col("first").alias("first_p"))
     pairs = array.join(previous, "x").where("first = first_p").select("g", "p")
     pairs = stored(spark, pairs, "neighbours")
@@ -124,45 +126,108 @@ def common_prefixes(lines: DataFrame, levels: list[DataFrame]) -> DataFrame:
     placed = placed.withColumn("s", source).select(
         "g", F.when(F.col("l").isNotNull(), F.col("l")).when(F.col("follows"), F.col("s.l") - (F.col("g") - F.col("s.g"))).otherwise(0).alias("lcp")
     )
-    return array.join(placed, "g").select("first", "x", "g", "lcp")
+    # small inputs come in small ranges, so that all tasks have some
+    size = max(1, min(RANGE, before[-1] // (8 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    return array.join(placed, "g").select(F.expr(f"x div {size}").alias("range"), "x", "g", "lcp")
 
 
-def longest_earlier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(g, lines): the longest run of lines from g that begins at an earlier place, too.
+_RANGES = (
+    "range long, g array<long>, lcp array<long>, low long, left_g array<long>, left_lcp array<long>, right_g array<long>, right_lcp array<long>"
+)
+
+
+def _border(g: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of places with the lines that they share with one suffix: the earliest for each number of
+    lines, where it is earlier than all that share more. Both ascend."""
+    order = np.lexsort((g, -shared))
+    g, shared = g[order], shared[order]
+    least = np.minimum.accumulate(g)
+    keep = np.append(True, g[1:] < least[:-1])[: len(g)] & (shared > 0)
+    return g[keep][::-1], shared[keep][::-1]
 
-    One pass in suffix order per group of one first line, with a stack: a suffix leaves it when a
-    neighbour with a smaller place, or with a shorter common prefix, settles its longest run.
-    """
+
+def packed_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each range: its suffixes, the least prefix within, and what it shows on both sides."""
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        first, place, common = (table.column(c).to_pylist() for c in ("first", "g", "lcp"))
-        out_g: list[int] = []
-        out_l: list[int] = []
-        stack: list[tuple[int, int]] = []
-        n = len(first)
-        for i in range(n + 1):
-            end = i == n or (i > 0 and first[i] != first[i - 1])
-            if end:  # all that wait in the group are settled
-                for g, run in stack:
-                    out_g.append(g)
-                    out_l.append(run)
-                stack = []
-            if i == n:
-                break
-            g, run = place[i], common[i] if stack else 0
-            while stack and (g < stack[-1][0] or run <= stack[-1][1]):
-                top, kept = stack.pop()
-                out_g.append(top)
-                if g < top:
-                    out_l.append(max(run, kept))
-                    run = min(run, kept)
-                else:
-                    out_l.append(kept)
-            stack.append((g, run))
-        keep = np.array(out_l, np.int64) > 0
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(out_g, np.int64)[keep]), pa.array(np.array(out_l, np.int64)[keep])], names=["g", "lines"])
+        number, g, lcp = (table.column(c).to_numpy() for c in ("range", "g", "lcp"))
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(number)]])
+        rows = []
+        for a, b in zip(edges, edges[1:]):
+            inner = lcp[a + 1 : b]
+            whole = np.array([np.iinfo(np.int64).max])
+            left = _border(g[a:b], np.append(np.minimum.accumulate(inner[::-1])[::-1], whole))
+            right = _border(g[a:b], np.append(whole, np.minimum.accumulate(inner)))
+            rows.append((int(number[a]), g[a:b], lcp[a:b], int(np.append(inner, whole).min()), *left, *right))
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), *[pa.list_(pa.int64())] * 4]
+        names = ["range", "g", "lcp", "low", "left_g", "left_lcp", "right_g", "right_lcp"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    yield from sorted_groups(batches, "range", work)
+
+
+def passed_on(ends: list) -> tuple[list, list]:
+    """Of ranges in order the borders of all that lies before each, and of all that lies after."""
 
-    yield from sorted_groups(batches, "first", work)
+    def passed(g, lcp, beyond, low: int, head: int):
+        """The border one range on: the range's own places and those beyond it."""
+        places = np.concatenate([np.array(g, np.int64), beyond[0]])
+        return _border(places, np.minimum(np.concatenate([np.array(lcp, np.int64), np.minimum(beyond[1], low)]), head))
+
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    before, after = [none], [none]
+    for r, following in zip(ends, ends[1:]):
+        before.append(passed(r["left_g"], r["left_lcp"], before[-1], r["low"], following["head"]))
+    for r in ends[:0:-1]:
+        after.append(passed(r["right_g"], r["right_lcp"], after[-1], r["low"], r["head"]))
+    return before, after[::-1]
+
+
+def borders(ranges: DataFrame) -> DataFrame:
+    """(range, before_g, before_lcp, after_g, after_lcp): what each range shares with all that lie
+    before, by its first suffix, and with all that lie after, by its last one. A border has at most
+    as many places as the suffix there has lines."""
+    ends = ranges.select("range", F.expr("lcp[0]").alias("head"), "low", "left_g", "left_lcp", "right_g", "right_lcp").orderBy("range").collect()
+    rows = [(r["range"], *(x.tolist() for x in (*b, *a))) for r, b, a in zip(ends, *passed_on(ends))]
+    # as an Arrow table, whose size Spark knows when it plans the join
+    kinds = [pa.int64(), *[pa.list_(pa.int64())] * 4]
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    names = ["range", "before_g", "before_lcp", "after_g", "after_lcp"]
+    return ranges.sparkSession.createDataFrame(pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names))
+
+
+def longest_earlier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(g, lines): the longest run of lines from g that begins at an earlier place, too.
+
+    One pass in suffix order for each range, with a stack: a suffix leaves it when a neighbour with
+    a smaller place, or with a shorter common prefix, settles its longest run. The borders stand in
+    for all suffixes before and after the range.
+    """
+    for batch in batches:
+        for i in range(batch.num_rows):
+            own_g, own_lcp, before_g, before_lcp, after_g, after_lcp = (batch.column(c)[i].as_py() for c in range(6))
+            place = [*before_g, *own_g, *after_g[::-1]]
+            # places of a border share with each other what the one further off shares with the range
+            common = [0, *before_lcp, *own_lcp[1:], *after_lcp[::-1]]
+            out_g: list[int] = []
+            out_l: list[int] = []
+            stack: list[tuple[int, int]] = []
+            for g, run in zip(place, common):
+                while stack and (g < stack[-1][0] or run <= stack[-1][1]):
+                    top, kept = stack.pop()
+                    out_g.append(top)
+                    if g < top:
+                        out_l.append(max(run, kept))
+                        run = min(run, kept)
+                    else:
+                        out_l.append(kept)
+                stack.append((g, run if stack else 0))
+            for g, run in stack:
+                out_g.append(g)
+                out_l.append(run)
+            found_g, found_l = np.array(out_g, np.int64), np.array(out_l, np.int64)
+            keep = (found_l > 0) & ~np.isin(found_g, [*before_g, *after_g])
+            yield pa.RecordBatch.from_arrays([pa.array(found_g[keep]), pa.array(found_l[keep])], names=["g", "lines"])
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -170,7 +235,11 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = repeated_lines(docs)
     levels = prefix_doubling(lines)
     array = common_prefixes(lines, levels)
-    found = array.repartition("first").sortWithinPartitions("first", "x").mapInArrow(longest_earlier, "g long, lines long")
+    ranges = stored(
+        docs.sparkSession, array.repartition("range").sortWithinPartitions("range", "x").select("range", "g", "lcp").mapInArrow(packed_ranges, _RANGES), "ranges"
+    )
+    both = ranges.select("range", "g", "lcp").join(borders(ranges), "range")
+    found = both.select("g", "lcp", "before_g", "before_lcp", "after_g", "after_lcp").mapInArrow(longest_earlier, "g long, lines long")
     total = F.sum("words").over(Window.partitionBy(*_KEY).orderBy("pos"))
     sums = lines.select("g", *_KEY, "pos", "words", total.alias("upto"))
     ends = sums.select(F.col("g").alias("end_g"), F.col("upto").alias("end_upto"))

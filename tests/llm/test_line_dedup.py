@@ -1,6 +1,7 @@
 """Repeated line runs against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from curbflow.llm import line_dedup
 from llm_brute import line_brute as brute
@@ -43,6 +44,31 @@ def test_earlier_copy_ends_within_the_later_one(spark):
         assert got[-1][1:] == ("", 4)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_ranges_of_the_suffix_array(seed):
+    """Cut at any places, a group of one first line gives the runs of all its pairs of suffixes."""
+    rng = np.random.default_rng(seed)
+    seq = rng.choice(3, 400, p=[0.85, 0.1, 0.05]).tolist() if seed else [0] * 400
+    order = sorted(range(len(seq)), key=lambda i: seq[i:])
+    both = lambda a, b: next((n for n, (x, y) in enumerate(zip(seq[a:], seq[b:])) if x != y), len(seq) - max(a, b))
+    lcp = [0, *map(both, order, order[1:])]
+    want = {i: n for i in range(len(seq)) if (n := max((both(i, j) for j in range(i)), default=0))}
+    cuts = np.sort(rng.choice(400, 30))
+    number = np.searchsorted(cuts, np.arange(400), side="right")
+    table = pa.RecordBatch.from_arrays([pa.array(number.astype(np.int64)), pa.array(order, pa.int64()), pa.array(lcp, pa.int64())], names=["range", "g", "lcp"])
+    packed = pa.Table.from_batches(line_dedup.packed_ranges(iter([table.slice(0, 150), table.slice(150)]))).to_pylist()
+    assert max(len(r["g"]) for r in packed) < 100  # no walk over the whole group
+    ends = [{"range": r["range"], "head": r["lcp"][0], **r} for r in packed]
+    rows = [
+        {"g": r["g"], "lcp": r["lcp"], "before_g": b[0].tolist(), "before_lcp": b[1].tolist(), "after_g": a[0].tolist(), "after_lcp": a[1].tolist()}
+        for r, b, a in zip(ends, *line_dedup.passed_on(ends))
+    ]
+    kinds = pa.schema([(c, pa.list_(pa.int64())) for c in ("g", "lcp", "before_g", "before_lcp", "after_g", "after_lcp")])
+    got = pa.Table.from_batches(line_dedup.longest_earlier(iter([pa.RecordBatch.from_pylist(rows, kinds)])))
+    assert dict(zip(got["g"].to_pylist(), got["lines"].to_pylist())) == want
+    assert got.num_rows == len(want)
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(60))
     docs = [
