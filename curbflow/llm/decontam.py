@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
-Every task cuts its documents into shards of a few MB and builds a suffix array of each shard's
+Every task cuts its documents into shards of about a MB and builds a suffix array of each shard's
 words. Every suffix of every benchmark item is then located in it by binary search, word by word
 and for all suffixes at once: the interval of training suffixes that agree so far shrinks until
 it is empty, which gives the longest verbatim match and all its places. A match counts from a
@@ -35,7 +35,7 @@ from curbflow.llm.suffixes import doubled
 
 WINDOW = 10
 SLICE_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 # the word pattern [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z, by bytes of UTF-8
 _IN_WORD = tb.byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
@@ -46,9 +46,8 @@ _SPANS = "array<struct<start: int, end: int>>"
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and n + 1 offsets of each document's words."""
-    low = tb.LOWER[data]
-    starts, ends = tb.runs(_IN_WORD[low], offsets)
-    return tb.span_hash(tb.prefix_sums(low), starts, ends), tb.word_rows(starts, offsets)
+    hashes, starts, _ = tb.hashed_words(data, offsets, _IN_WORD)
+    return hashes, tb.word_rows(starts, offsets)
 
 
 class TestSuffixes:

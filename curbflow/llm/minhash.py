@@ -51,9 +51,8 @@ _ROW = tb.mixed(_ODD[2, WORDS : WORDS + ROWS]) | np.uint64(1)
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each document."""
-    low = tb.LOWER[data]
-    starts, ends = tb.runs(_WORD[low], offsets)
-    words, rows = tb.span_hash(tb.prefix_sums(low), starts, ends), tb.word_rows(starts, offsets)
+    words, starts, _ = tb.hashed_words(data, offsets, _WORD)
+    rows = tb.word_rows(starts, offsets)
     if len(words) >= WORDS:
         n = len(words) - WORDS + 1
         shingles = tb.mixed(sum(words[k : n + k] * _PLACE[k] for k in range(WORDS)))

@@ -1,7 +1,8 @@
 """Vectorised work on the UTF-8 bytes of whole text columns, inside Arrow tasks.
 
-A batch is cut into blocks of a few MB of text, so that temporary arrays stay small whatever the
-batch holds; a block always holds whole documents. A null text counts as empty.
+A batch is cut into blocks of about a MB of text, which hold whole documents. Within a block words
+are found in steps, which end between words and may end inside a document, so that temporary
+arrays stay small however long a document is. A null text counts as empty.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+STEP_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -67,6 +69,45 @@ def runs(inside: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None
     return np.flatnonzero(here & (edge | ~before)), np.flatnonzero(before & (edge | ~here))
 
 
+def steps(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, limit: int | None = None) -> Iterator[tuple[int, int]]:
+    """Byte ranges of about ``limit`` bytes that cut no run of bytes in the table ``inside``."""
+    limit = limit or STEP_BYTES
+    a, n = 0, len(data)
+    while a < n:
+        b = min(a + limit, n)
+        if b < n and inside[LOWER[data[b - 1]]] and inside[LOWER[data[b]]]:
+            border = offsets[np.searchsorted(offsets, b, side="right") - 1]
+            outside = np.flatnonzero(~inside[LOWER[data[a:b]]])
+            b = max(int(border), a + int(outside[-1]) + 1 if len(outside) else a)
+            if b <= a:  # one run all the way: on to its end
+                end = int(offsets[np.searchsorted(offsets, a + limit, side="left")])
+                b = a + limit
+                while b < end:
+                    outside = np.flatnonzero(~inside[LOWER[data[b : min(b + limit, end)]]])
+                    if len(outside):
+                        b += int(outside[0])
+                        break
+                    b = min(b + limit, end)
+        yield a, b
+        a = b
+
+
+def within(offsets: np.ndarray, a: int, b: int) -> np.ndarray:
+    """The document borders in [a, b], counted from a."""
+    return offsets[np.searchsorted(offsets, a, side="left") : np.searchsorted(offsets, b, side="right")] - a
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words (runs of bytes in ``inside`` after lower-casing A-Z), their starts and ends."""
+    parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for a, b in steps(data, offsets, inside):
+        low = LOWER[data[a:b]]
+        starts, ends = runs(inside[low], within(offsets, a, b))
+        parts.append((span_hash(prefix_sums(low), starts, ends), starts + a, ends + a))
+    hashes, starts, ends = (np.concatenate(p) for p in zip(*parts))
+    return hashes, starts, ends
+
+
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Sums of byte times power, from which ``span_hash`` takes any span's hash."""
     global _powers, _inverses

@@ -16,10 +16,9 @@ import numpy as np
 import pyarrow as pa
 
 from curbflow.llm import textbytes as tb
+from curbflow.llm.idtable import IdTable
 
-MAX_WORDS = 1_500_000  # of a worker's memory of words; beyond it starts anew
-
-_SPACE = tb.byte_table(lambda b: b in b" \t\n\r")
+_IN_WORD = tb.byte_table(lambda b: b not in b" \t\n\r")
 _ASCII_LETTER = tb.byte_table(lambda b: chr(b).isalpha() and b < 128)
 _PUNCTUATION = tb.byte_table(lambda b: 33 <= b < 127 and not chr(b).isalnum())
 _LATIN_TAIL = tb.byte_table(lambda b: 0x80 <= b < 0xC0 and b not in (0x97, 0xB7))  # after 0xC3: a letter
@@ -49,16 +48,7 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.reset()
-
-    def reset(self) -> None:
-        self.size = 1 << 16
-        self.keys = np.zeros(self.size, np.uint64)
-        self.words = np.full(self.size, -1, np.int64)
-        self.known = 0
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.pool_end = 0
-        self.at = np.zeros(1 << 16, np.int64)  # of each word its ids' start, then the next word's
+        self.table = IdTable()
 
     def encode(self, column: pa.Array, end_id: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) of every row, in order; ``end_id`` is added to each."""
@@ -95,79 +85,38 @@ class WordBpe:
         return odd
 
     def _block(self, part: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low = tb.LOWER[part]
+        """The ids of a block, and where each document's ids end; long documents go in steps."""
+        out, ends, begin = [], np.zeros(len(offsets) - 1, np.int64), 0
+        for a, b in tb.steps(part, offsets, _IN_WORD):
+            low = tb.LOWER[part[a:b]]
+            ids, word_ends, starts = self._step(low, tb.within(offsets, a, b))
+            # documents that end in this step
+            done = np.flatnonzero((offsets[1:] > a) & (offsets[1:] <= b))
+            upto = np.searchsorted(starts, offsets[1:][done] - a)
+            ends[done] = begin + np.concatenate([[0], word_ends])[upto]
+            out.append(ids)
+            begin += len(ids)
+        return np.concatenate(out) if out else np.zeros(0, np.uint32), np.maximum.accumulate(ends)
+
+    def _step(self, low: np.ndarray, borders: np.ndarray):
         letter = _ASCII_LETTER[low]
         if len(low) > 1:
             letter[1:] |= (low[:-1] == 0xC3) & _LATIN_TAIL[low[1:]]
         cuts = np.zeros(len(low), bool)  # between a letter and punctuation
         cuts[1:] = letter[:-1] & _PUNCTUATION[low[1:]]
-        starts, ends = tb.runs(~_SPACE[low], offsets, cuts)
+        starts, ends = tb.runs(_IN_WORD[low], borders, cuts)
         hashes = tb.span_hash(tb.prefix_sums(low), starts, ends) | np.uint64(1)
-        if self.known > MAX_WORDS:
-            self.reset()
-        found = self._find(hashes)
+        if self.table.full():
+            self.table.reset()
+        found = self.table.find(hashes)
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new, first = np.unique(hashes[missing], return_index=True)
             raw = low.tobytes()
-            self._learn(new, [raw[starts[i] : ends[i]] for i in missing[first]])
-            found[missing] = self._find(hashes[missing])
-        begin = self.at[found]
-        count = self.at[found + 1] - begin
-        ends_at = np.cumsum(count)
-        total = int(ends_at[-1]) if len(ends_at) else 0
-        ids = self.pool[np.repeat(begin - (ends_at - count), count) + np.arange(total)]
-        by_doc = tb.word_rows(starts, offsets)[1:]
-        return ids, np.concatenate([[0], ends_at])[by_doc]
-
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        """The word numbers of the hashes, -1 for unknown ones."""
-        mask = np.uint64(self.size - 1)
-        slot = (hashes >> np.uint64(7)) & mask
-        got = self.keys[slot]
-        found = np.where(got == hashes, self.words[slot], -1)
-        todo = np.flatnonzero((got != hashes) & (got != 0))
-        while len(todo):
-            slot[todo] = (slot[todo] + np.uint64(1)) & mask
-            got = self.keys[slot[todo]]
-            hit = got == hashes[todo]
-            found[todo[hit]] = self.words[slot[todo[hit]]]
-            todo = todo[~hit & (got != 0)]
-        return found
-
-    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        ids = self._ids(words)
-        n = len(words)
-        lengths = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([i for x in ids for i in x], np.uint32)
-        while self.pool_end + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while self.known + n + 1 > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-        self.pool[self.pool_end : self.pool_end + len(flat)] = flat
-        self.at[self.known + 1 : self.known + n + 1] = self.pool_end + np.cumsum(lengths)
-        numbers = np.arange(self.known, self.known + n)
-        self.pool_end += len(flat)
-        self.known += n
-        if 2 * self.known > self.size:
-            keys, old = self.keys[self.keys != 0], self.words[self.keys != 0]
-            while 2 * self.known > self.size:
-                self.size *= 4
-            self.keys, self.words = np.zeros(self.size, np.uint64), np.full(self.size, -1, np.int64)
-            self._insert(keys, old)
-        self._insert(hashes, numbers)
-
-    def _insert(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
-        mask = np.uint64(self.size - 1)
-        slot = (hashes >> np.uint64(7)) & mask
-        todo = np.arange(len(hashes))
-        while len(todo):
-            free = todo[self.keys[slot[todo]] == 0]
-            self.keys[slot[free]] = hashes[free]  # of several for one slot the last stays
-            won = self.keys[slot[todo]] == hashes[todo]
-            self.words[slot[todo[won]]] = numbers[todo[won]]
-            todo = todo[~won]
-            slot[todo] = (slot[todo] + np.uint64(1)) & mask
+            self.table.learn(new, self._ids([raw[starts[i] : ends[i]] for i in missing[first]]))
+            found[missing] = self.table.find(hashes[missing])
+        ids, word_ends = self.table.ids(found)
+        return ids, word_ends, starts
 
     def _ids(self, words: list[bytes]) -> list[list[int]]:
         """Lower-case words of letters go to the model at once, all others through the library."""
