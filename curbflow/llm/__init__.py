@@ -10,7 +10,7 @@ import importlib
 
 from curbflow.llm.shipping import ship
 
-_MODULES = ["token_counts", "toxicity", "embedding_dedup", "line_dedup", "packing", "decontam", "quality", "pii", "substring_dedup", "minhash", "piece_tokens", "vector_codes"]
+_MODULES = ["token_counts", "toxicity", "embedding_dedup", "line_dedup", "packing", "decontam", "quality", "pii", "substring_dedup", "minhash", "piece_tokens", "source_audit", "vector_codes"]
 
 
 def queries():

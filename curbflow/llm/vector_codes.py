@@ -57,6 +57,7 @@ class Codebook:
         bit = np.zeros((n, self.words), np.uint64)
         bit[np.arange(n), np.arange(n) // 64] = np.uint64(1) << (np.arange(n) % 64).astype(np.uint64)
         # masks[d, k]: the entries with the k smallest coordinates of dimension d
+        self.all = np.bitwise_or.reduce(bit, axis=0)
         self.masks = np.zeros((width, n + 1, self.words), np.uint64)
         for d in range(width):
             self.masks[d, 1:] = np.bitwise_or.accumulate(bit[self.order[:, d]], axis=0)
@@ -78,7 +79,7 @@ class Codebook:
     def candidates(self, parts: np.ndarray, square: np.ndarray) -> np.ndarray:
         """Masks of the entries within the radius of each part in every dimension."""
         radius = np.ceil(np.sqrt(square.astype(float))).astype(np.int64) + 1  # never less than the root
-        mask = np.full((len(parts), self.words), np.iinfo(np.uint64).max, np.uint64)
+        mask = np.tile(self.all, (len(parts), 1))
         for d in range(parts.shape[1]):
             low = np.searchsorted(self.sorted[:, d], parts[:, d] - radius, side="left")
             high = np.searchsorted(self.sorted[:, d], parts[:, d] + radius, side="right")

@@ -9,8 +9,8 @@ from curbflow import llm
 
 def test_names():
     names = list(llm.queries())
-    assert [int(n[2:].split("_")[0]) for n in names] != [] and len(names) == 12
-    assert {int(n[2:].split("_")[0]) for n in names} == {*range(1, 12), 13}
+    assert [int(n[2:].split("_")[0]) for n in names] != [] and len(names) == 13
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14))
     assert set(names) | {"pipeline"} <= set(entry.queries())
     assert set(llm.oracle_sql()) <= set(names)
 
