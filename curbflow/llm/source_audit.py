@@ -1,14 +1,13 @@
 """How the sources of a language differ in their words, with late materialisation of the words.
 
-Words are counted by fixed-width digests. A task finds the words of whole texts, counts them by
-(language, source, digest) over a window of blocks, and remembers each digest's least and greatest
-word of that window. Only digests and counts are shuffled: they add up to the counts of every
-source and the documents of every language, which settle the kept digests. Then the words of kept
-digests, and of no others, are met by digest: where the least and the greatest word differ, two
-words share a digest, and that digest is split. Its words (few at 64 bits, but any number is
-handled) are counted anew from the texts under a number of their own. A digest whose words all fall
-short is not looked at: apart they'd hold no more documents than together.
-The words come back as text only for the rows of the report.
+Words are counted by fixed-width digests. A task finds the words of whole texts and counts them by
+(language, source, digest) over a window of blocks; only digests and counts are shuffled. They add
+up to the counts of every source and the documents of every language, which settle the kept
+digests. A second pass over the texts, past a bit field of fixed size that holds all kept digests,
+takes each kept digest's least and greatest word: where they differ, two words share a digest, and
+that digest is split. Its words (few at 64 bits, but any number is handled) are counted anew from
+the texts under a number of their own. A digest whose words fall short together is not looked at:
+apart they'd hold no more documents. The words come back as text only for the rows of the report.
 
 Shares are whole numbers: p = 1 + floor(10^9 (count + 2) / (N + 2 V)) with N the kept words'
 occurrences in the group and V the language's kept words; f = floor((p - q)^2 / (p + q)). The sum of
@@ -38,14 +37,15 @@ from curbflow.llm.groups import stored
 LEAST_DOCS = 10
 TOP = 10
 UNIT = 1_000_000_000
-WINDOW_ROWS = 400_000  # counts that a task holds at once
+WINDOW_ROWS = 1_000_000  # counts that a task holds at once
+NAME_ROWS = 100_000  # digests whose words a task holds at once
+FIELD_BITS = 25  # 2 ** FIELD_BITS bits that stand for all kept digests
 PAIR_ROWS = 1 << 18  # pairs of sources that a task works on at once
 
 # the word pattern [^\x00-\x40\x5B-\x60\x7B-\x7F]+ after lower-casing A-Z, by bytes of UTF-8
 _IN_WORD = tb.byte_table(lambda b: 97 <= b <= 122 or b >= 128)
 
 _COUNTS = ["lang_id", "source_id", "digest", "n", "docs"]
-_SCHEMA = "lang_id long, source_id long, digest long, n long, docs long, low binary, high binary"
 
 
 def _grouped(keys: list[np.ndarray], values: list[np.ndarray]):
@@ -68,6 +68,8 @@ class _Names:
 
     def block(self, low: np.ndarray, digests: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """``low`` holds the words' bytes; every word is compared with the first of its digest."""
+        if not len(digests):
+            return
         uniq, first, inverse = np.unique(digests, return_index=True, return_inverse=True)
         raw = low.tobytes()
         words = [raw[starts[i] : ends[i]] for i in first]
@@ -110,46 +112,111 @@ def _blocks(batch: pa.RecordBatch, column: int, bits: int):
         yield slice(first, last), tb.LOWER[part], digested(hashes, bits), starts, ends, document
 
 
+def _block_counts(source: np.ndarray, digests: np.ndarray, document: np.ndarray):
+    """(source, digest), (occurrences, documents) of a block's words; ``source`` is each word's."""
+    words, word = np.unique(digests, return_inverse=True)
+    sources, own = np.unique(source, return_inverse=True)
+    pairs, first, n = np.unique(document * len(words) + word, return_index=True, return_counts=True)
+    rows, at = np.unique(own[first] * len(words) + word[first], return_inverse=True)
+    counts = [np.bincount(at, n, len(rows)).astype(np.int64), np.bincount(at, minlength=len(rows))]
+    return [sources[rows // len(words)], words[rows % len(words)]], counts
+
+
 def word_counts(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """Tasks' partial counts of (lang_id, source_id, digest) with their documents, and rows of null
-    counts with each digest's least and greatest word. ``docs``: lang_id, source_id, text."""
+    """Tasks' partial counts of (lang_id, source_id, digest) with their documents."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values, names, rows = [], [], _Names(), 0
+        keys, values, rows, langs = [], [], 0, {}
 
         def merged():
             return _grouped([np.concatenate(k) for k in zip(*keys)], [np.concatenate(v) for v in zip(*values)])
 
-        def batch_of(k, v) -> Iterator[pa.RecordBatch]:
-            none = pa.nulls(len(k[0]), pa.binary())
-            yield pa.RecordBatch.from_arrays([*map(pa.array, [*k, *v]), none, none], names=[*_COUNTS, "low", "high"])
-            digests = np.fromiter(names.low, np.int64, len(names.low))
-            empty = pa.nulls(len(digests), pa.int64())
-            columns = [empty, empty, pa.array(digests), empty, empty, pa.array(names.low.values(), pa.binary()), pa.array(names.high.values(), pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*_COUNTS, "low", "high"])
+        def rows_of(k, v) -> pa.RecordBatch:
+            sources, own = np.unique(k[0], return_inverse=True)
+            lang = np.array([langs[x] for x in sources.tolist()], np.int64)[own]
+            return pa.RecordBatch.from_arrays([*map(pa.array, [lang, *k, *v])], names=_COUNTS)
 
         for batch in batches:
             lang, source = (batch.column(c).to_numpy() for c in (0, 1))
-            for own, low, digests, starts, ends, document in _blocks(batch, 2, bits):
+            langs.update(zip(source.tolist(), lang.tolist()))
+            for own, _, digests, _, _, document in _blocks(batch, 2, bits):
                 if not len(digests):
                     continue
-                (document, word), (n,) = _grouped([document, digests], [np.ones(len(digests), np.int64)])
-                k, v = _grouped([lang[own][document], source[own][document], word], [n, np.ones(len(n), np.int64)])
-                names.block(low, digests, starts, ends)
+                k, v = _block_counts(source[own][document], digests, document)
                 keys.append(k)
                 values.append(v)
                 rows += len(k[0])
                 if rows > WINDOW_ROWS:
                     k, v = merged()
-                    if len(k[0]) > WINDOW_ROWS // 2:
-                        yield from batch_of(k, v)
-                        keys, values, names, rows = [], [], _Names(), 0
-                    else:
-                        keys, values, rows = [k], [v], len(k[0])
+                    keys, values, rows = [k], [v], len(k[0])
+                    if rows > WINDOW_ROWS // 4 * 3:
+                        yield rows_of(k, v)
+                        keys, values, rows = [], [], 0
         if keys:
-            yield from batch_of(*merged())
+            yield rows_of(*merged())
+
+    schema = "lang_id long, source_id long, digest long, n long, docs long"
+    return docs.select("lang_id", "source_id", "text").mapInArrow(task, schema)
+
+
+def _place(digests: np.ndarray, field_bits: int) -> np.ndarray:
+    return (tb.mixed(digests.view(np.uint64)) >> np.uint64(64 - field_bits)).astype(np.int64)
+
+
+def bit_field(digests: DataFrame, field_bits: int = FIELD_BITS) -> np.ndarray:
+    """A field of 2 ** field_bits bits (as bytes), set at the place of every row's ``digest``.
+
+    Tasks make its sections, so what reaches the driver has the field's size, whatever the rows.
+    """
+    section = max(3, field_bits - 10)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = _place(batch.column(0).to_numpy(), field_bits)
+            yield pa.RecordBatch.from_arrays([pa.array(place >> section), pa.array(place & ((1 << section) - 1))], names=["section", "place"])
+
+    def sections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            number, place = (c.to_numpy() for c in batch.columns)
+            for k in np.unique(number).tolist():
+                made.setdefault(k, np.zeros(1 << section, bool))[place[number == k]] = True
+        packed = [np.packbits(m, bitorder="little").tobytes() for m in made.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int64()), pa.array(packed, pa.binary())], names=["section", "bits"])
+
+    dealt = digests.select("digest").mapInArrow(places, "section long, place long").distinct().repartition("section")
+    field = np.zeros((1 << (field_bits - section), (1 << section) // 8), np.uint8)
+    for r in dealt.mapInArrow(sections, "section long, bits binary").collect():
+        field[r["section"]] = np.frombuffer(r["bits"], np.uint8)
+    return field.ravel()
+
+
+def word_names(docs: DataFrame, wanted: DataFrame, bits: int = 64, field_bits: int = FIELD_BITS) -> DataFrame:
+    """(digest, low, high): the least and the greatest word of each digest in ``wanted``."""
+    field = docs.sparkSession.sparkContext.broadcast(bit_field(wanted, field_bits))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, held = _Names(), field.value
+
+        def rows_of(names: _Names) -> pa.RecordBatch:
+            high = [h if h != names.low[d] else None for d, h in names.high.items()]
+            columns = [pa.array(names.low.keys(), pa.int64()), pa.array(names.low.values(), pa.binary()), pa.array(high, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["digest", "low", "high"])
+
+        for batch in batches:
+            for _, low, digests, starts, ends, _ in _blocks(batch, 2, bits):
+                place = _place(digests, field_bits)
+                some = (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                names.block(low, digests[some], starts[some], ends[some])
+                if len(names.low) > NAME_ROWS:
+                    yield rows_of(names)
+                    names = _Names()
+        if names.low:
+            yield rows_of(names)
 
-    return docs.select("lang_id", "source_id", "text").mapInArrow(task, _SCHEMA)
+    found = docs.select("lang_id", "source_id", "text").mapInArrow(task, "digest long, low binary, high binary")
+    found = found.join(wanted, "digest", "left_semi")
+    return found.groupBy("digest").agg(F.min("low").alias("low"), F.max(F.coalesce("high", "low")).alias("high"))
 
 
 def split_counts(docs: DataFrame, split: DataFrame, bits: int) -> DataFrame:
@@ -217,20 +284,16 @@ def kept_terms(docs: DataFrame, bits: int = 64, least: int = LEAST_DOCS) -> tupl
     language's count and a flag on one row of each term; and the terms' names (digest, sub, word).
     ``sub`` is 0, or the number of a word that shares its digest."""
     spark = docs.sparkSession
-    found = stored(spark, word_counts(docs, bits), "counts")
-    counts = found.where("n IS NOT NULL").select(*_COUNTS).withColumn("sub", F.lit(0).cast("long"))
-    term = Window.partitionBy(*_TERM)
 
-    def summed(frame: DataFrame) -> DataFrame:
-        frame = frame.repartition(*_TERM).groupBy(*_TERM, "source_id").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    def summed(frame: DataFrame, keys: list[str]) -> DataFrame:
+        term = Window.partitionBy(*keys)
+        frame = frame.repartition(*keys).groupBy(*keys, "source_id").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
         frame = frame.withColumn("df", F.sum("docs").over(term)).where(F.col("df") >= least)
         return frame.withColumn("whole", F.sum("n").over(term)).withColumn("first", F.row_number().over(term.orderBy("source_id")) == 1).drop("docs", "df")
 
-    kept = stored(spark, summed(counts), "kept")
-    # the words of kept digests, each by its least and greatest
-    wanted = kept.select("digest").distinct()
-    names = found.where("n IS NULL").select("digest", "low", "high").join(wanted, "digest", "left_semi")
-    names = stored(spark, names.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high")), "names")
+    plain = summed(word_counts(docs, bits), ["lang_id", "digest"])
+    kept = stored(spark, plain.withColumn("sub", F.lit(0).cast("long")).select(*_TERM, "source_id", "n", "whole", "first"), "kept")
+    names = stored(spark, word_names(docs, kept.select("digest").distinct(), bits), "names")
     split = stored(spark, names.where("low <> high").select("digest"), "split")
     plain = names.select("digest", F.lit(0).cast("long").alias("sub"), F.col("low").cast("string").alias("word"))
     if split.isEmpty():
@@ -238,7 +301,7 @@ def kept_terms(docs: DataFrame, bits: int = 64, least: int = LEAST_DOCS) -> tupl
     again = stored(spark, split_counts(docs, split, bits), "again")
     words = again.select("digest", "word").distinct().withColumn("sub", F.row_number().over(Window.partitionBy("digest").orderBy("word")).cast("long"))
     words = stored(spark, words, "words")
-    apart = summed(again.join(words, ["digest", "word"]).drop("word")).select(*kept.columns)
+    apart = summed(again.join(words, ["digest", "word"]).drop("word"), _TERM).select(*kept.columns)
     kept = stored(spark, kept.join(split, "digest", "left_anti").select(*kept.columns).union(apart), "kept")
     return kept, plain.join(split, "digest", "left_anti").union(words.select("digest", "sub", F.col("word").cast("string")))
 

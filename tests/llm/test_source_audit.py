@@ -61,7 +61,7 @@ def test_windows_and_steps(spark, monkeypatch):
     """Small windows and pair steps change nothing; a long text and repeated rows count whole."""
     rows = made(9) + [("ax by " * 30000, "de", "s")] * 2
     counted = sa.word_counts(sa._numbered(spark.createDataFrame(rows, "text string, lang string, source string"))[0])
-    assert counted.where("n IS NOT NULL").agg({"n": "sum"}).first()[0] == sum(len(_WORD.findall(r[0] or "")) for r in rows)
+    assert counted.agg({"n": "sum"}).first()[0] == sum(len(_WORD.findall(r[0] or "")) for r in rows)
     table = [(1, 5, 0, s, 10 * s + 1, 1) for s in range(40)]
     import pyarrow as pa
 
@@ -80,6 +80,17 @@ def test_windows_and_steps(spark, monkeypatch):
     assert total([whole.slice(0, 11), whole.slice(11, 0), whole.slice(11)]) == want and len(want) == 40 * 39
 
 
+def test_bit_field(spark):
+    """Every wanted digest is in the field, at any size of it."""
+    wanted = spark.range(-500, 500, 7).toDF("digest")
+    digests = np.arange(-500, 500, 7)
+    for field_bits in (25, 12, 3):
+        field = sa.bit_field(wanted, field_bits)
+        place = sa._place(digests, field_bits)
+        assert ((field[place >> 3] >> (place & 7).astype(np.uint8)) & 1).all() and len(field) == max(1, 2**field_bits // 8)
+        assert np.unpackbits(field).sum() <= len(digests)
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "text string, lang string, source string")
     assert sa.audit(frame).count() == 0
