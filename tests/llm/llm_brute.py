@@ -33,6 +33,11 @@ def decontam_brute(docs, items, window=10):
     return sorted(out, key=repr)
 
 
+def line_weight(line):
+    unspaced = sum("\u0e00" <= c <= "\u0eff" or "\u1000" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff" or "\u3040" <= c <= "\u30ff" or "\u3400" <= c <= "\u9fff" or "\uf900" <= c <= "\ufaff" for c in line)
+    return len(line.split()) + unspaced // 2
+
+
 def line_brute(docs, min_words):
     """Texts after removal, by the longest run from each line that begins earlier, too."""
     keys = sorted({(d is None, d or 0, t) for d, t in docs if t is not None}, key=lambda k: k[:2])
@@ -53,7 +58,7 @@ def line_brute(docs, min_words):
                 while i + n < len(own) and j + n < len(lines[b]) and own[i + n] == lines[b][j + n]:
                     n += 1
                 best = max(best, n)
-            if best and sum(len(x.split()) for x in own[i : i + best]) >= min_words:
+            if best and sum(line_weight(x) for x in own[i : i + best]) >= min_words:
                 gone[i : i + best] = [True] * best
         out[keys[a]] = ("\n".join(x for x, g in zip(own, gone) if not g), sum(gone))
     return sorted(((d, *(out[(d is None, d or 0, t)] if t is not None else (None, 0))) for d, t in docs), key=repr)

@@ -69,6 +69,47 @@ def test_ranges_of_the_suffix_array(seed):
     assert got.num_rows == len(want)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_borders_pass_through_groups(spark, seed):
+    """Passed on in groups of ranges, borders are those of one pass."""
+    rng = np.random.default_rng(seed)
+    rows, g = [], rng.permutation(600).tolist()
+    for i in range(60):
+        own, lcp = g[10 * i : 10 * i + 10], rng.integers(0, [3, 40, 2][seed], 10).tolist()
+        batch = pa.RecordBatch.from_arrays([pa.array([i] * 10, pa.int64()), pa.array(own, pa.int64()), pa.array(lcp if i else [0, *lcp[1:]], pa.int64())], names=["range", "g", "lcp"])
+        rows += pa.Table.from_batches(line_dedup.packed_ranges(iter([batch]))).to_pylist()
+    ends = [{"head": r["lcp"][0], **r} for r in rows]
+    want = line_dedup.passed_on(ends)
+    cuts = [0, 1, 2, 17, 40, 60]
+    groups = [ends[a:b] for a, b in zip(cuts, cuts[1:])]
+    before, after = line_dedup.passed_on([line_dedup.as_one(x) for x in groups])
+    got = [line_dedup.passed_on(x, b, a) for x, b, a in zip(groups, before, after)]
+    same = lambda x, y: all((p == q).all() and len(p) == len(q) for p, q in zip(x, y))
+    assert all(same(x, y) for k in (0, 1) for x, y in zip([b for part in got for b in part[k]], want[k]))
+    frame = spark.createDataFrame(rows).repartition(7)
+    table = {r["range"]: r for r in line_dedup.borders(frame).collect()}
+    for i, (b, a) in enumerate(zip(*want)):
+        assert (table[i]["before_g"], table[i]["before_lcp"], table[i]["after_g"], table[i]["after_lcp"]) == tuple(x.tolist() for x in (*b, *a))
+
+
+def test_ranks_across_partitions(spark):
+    """Names are r plus the rows of r with a smaller r2, also where a rank spans partitions."""
+    rows = [(r, r2, 1 + (r * r2) % 3) for r, many in ((0, 500), (700, 1), (800, 3), (2000, 400)) for r2 in range(-1, many - 1)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(x["r"], x["r2"]): x["name"] for x in line_dedup.ranked(spark, spark.createDataFrame(rows, "r long, r2 long, n long")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {(r, r2): r + sum(n for a, b, n in rows if a == r and b < r2) for r, r2, _ in rows}
+
+
+def test_scripts_without_spaces(spark):
+    """A line of Chinese characters weighs by its letters, a short one stays."""
+    docs = [(1, "这是一个没有空格的很长的句子它重复出现在文档里\nx"), (2, "这是一个没有空格的很长的句子它重复出现在文档里\ny"), (3, "短句子\nz"), (4, "短句子\nq")]
+    got = rows(line_dedup.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == brute(docs, line_dedup.MIN_WORDS) and [r[2] for r in got] == [0, 1, 0, 0]
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(60))
     docs = [
