@@ -11,9 +11,11 @@ Training words that no item holds can't be part of a match and stand as one sepa
 between separators that is shorter than the shortest window is left out of the array. That
 changes no result. Words are compared by 64-bit hashes.
 
-The benchmark goes to the executors in slices of at most ``SLICE_BYTES`` of text, one pass over
-the documents for each, so its size is not limited. Documents are never shuffled, and a hot
-passage costs only the places it has within each shard.
+The benchmark goes to the executors in slices of about ``SLICE_BYTES`` of text, one after the other
+with a written table between them, so its size is not limited. Only texts go to the Python workers,
+and only matches come back. Documents are never shuffled, and a hot passage costs only the places
+it has within each shard. A document that is longer than a shard is a shard of its own, of whose
+words only the hashes are held.
 
 Defined results: null or empty texts have no words, no hits and no items. Items without words or
 with a null id are left out; rows of one item id count as one item. Repeated document rows are
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm import textbytes as tb
+from curbflow.llm.groups import stored
 from curbflow.llm.suffixes import doubled
 
 WINDOW = 10
@@ -183,45 +186,48 @@ def slices(benchmark: DataFrame, window: int = WINDOW, limit: int = SLICE_BYTES)
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Each row of ``docs`` as struct ``row``, with n_words, n_hit, ``spans`` (hit runs of words)
     and ``found``: for each item with a window here its longest match and where it lies."""
+    spark, shared = docs.sparkSession, None
     frame = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
-        docs["text"].cast("string").alias("text"),
-        F.lit(0).alias("n_words"), F.lit(0).alias("n_hit"),
         F.expr(f"CAST(array() AS {_SPANS})").alias("spans"), F.expr(f"CAST(array() AS {_FOUND})").alias("found"),
     )
     for tests in slices(benchmark, window):
-        frame = frame.mapInArrow(_pass(docs.sparkSession.sparkContext.broadcast(tests)), frame.schema)
-    return frame.drop("text")
+        if shared:
+            frame = stored(spark, frame, "matches")
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(tests)
+        match = F.arrow_udf(_pass(shared), f"n_words int, n_hit int, spans {_SPANS}, found {_FOUND}")
+        frame = frame.select("row", match(F.col("row.text").cast("string"), "spans", "found").alias("m")).select("row", "m.*")
+    return frame
 
 
 def _pass(shared):
     """One pass: what an earlier pass found stays, and this slice's matches join it."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def match(texts: pa.Array, old_spans: pa.Array, old_found: pa.Array) -> pa.Array:
         tests = shared.value
-        for batch in batches:
-            data, offsets = tb.utf8(batch.column(1))
-            old_spans, old_found = batch.column(4), batch.column(5)
-            words, hits, spans, found = [], [], [], []
-            for first, last in tb.blocks(offsets, SHARD_BYTES):
-                hashes, rows = word_hashes(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
-                (documents, item, length, item_word, doc_word), (begin, end) = tests.search(hashes, rows)
-                owner = np.searchsorted(rows, begin, side="right") - 1
-                span_rows = np.searchsorted(owner, np.arange(last - first + 1))
-                item_rows = np.searchsorted(documents, np.arange(last - first + 1))
-                for d in range(last - first):
-                    own = [{"start": int(a - rows[d]), "end": int(b - rows[d])} for a, b in zip(begin[span_rows[d] : span_rows[d + 1]], end[span_rows[d] : span_rows[d + 1]])]
-                    own = _merged(old_spans[first + d].as_py(), own)
-                    at = range(item_rows[d], item_rows[d + 1])
-                    new = [{"item": tests.names[item[i]], "words": int(length[i]), "item_word": int(item_word[i]), "doc_word": int(doc_word[i])} for i in at]
-                    spans.append(own)
-                    found.append(_by_item(old_found[first + d].as_py() + new))
-                    words.append(int(rows[d + 1] - rows[d]))
-                    hits.append(sum(s["end"] - s["start"] for s in own))
-            arrays = [batch.column(0), batch.column(1), pa.array(words, pa.int32()), pa.array(hits, pa.int32()), pa.array(spans, old_spans.type), pa.array(found, old_found.type)]
-            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-
-    return task
+        data, offsets = tb.utf8(texts)
+        words, hits, spans, found = [], [], [], []
+        for first, last in tb.blocks(offsets, SHARD_BYTES):
+            hashes, rows = word_hashes(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+            (documents, item, length, item_word, doc_word), (begin, end) = tests.search(hashes, rows)
+            owner = np.searchsorted(rows, begin, side="right") - 1
+            span_rows = np.searchsorted(owner, np.arange(last - first + 1))
+            item_rows = np.searchsorted(documents, np.arange(last - first + 1))
+            for d in range(last - first):
+                own = [{"start": int(a - rows[d]), "end": int(b - rows[d])} for a, b in zip(begin[span_rows[d] : span_rows[d + 1]], end[span_rows[d] : span_rows[d + 1]])]
+                own = _merged(old_spans[first + d].as_py(), own)
+                at = range(item_rows[d], item_rows[d + 1])
+                new = [{"item": tests.names[item[i]], "words": int(length[i]), "item_word": int(item_word[i]), "doc_word": int(doc_word[i])} for i in at]
+                spans.append(own)
+                found.append(_by_item(old_found[first + d].as_py() + new))
+                words.append(int(rows[d + 1] - rows[d]))
+                hits.append(sum(s["end"] - s["start"] for s in own))
+        columns = [pa.array(words, pa.int32()), pa.array(hits, pa.int32()), pa.array(spans, old_spans.type), pa.array(found, old_found.type)]
+        return pa.StructArray.from_arrays(columns, names=["n_words", "n_hit", "spans", "found"])
+
+    match.__annotations__ = {"texts": pa.Array, "old_spans": pa.Array, "old_found": pa.Array, "return": pa.Array}
+    return match
 
 
 def _merged(old: list[dict], new: list[dict]) -> list[dict]:
