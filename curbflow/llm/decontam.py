@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from curbflow.llm import textbytes as tb
 from curbflow.llm.groups import stored
 from curbflow.llm.suffixes import doubled
+from curbflow.llm.workers import give_back
 
 WINDOW = 10
 SLICE_BYTES = 16 << 20
@@ -223,6 +224,7 @@ def _pass(shared):
                 found.append(_by_item(old_found[first + d].as_py() + new))
                 words.append(int(rows[d + 1] - rows[d]))
                 hits.append(sum(s["end"] - s["start"] for s in own))
+        give_back()
         columns = [pa.array(words, pa.int32()), pa.array(hits, pa.int32()), pa.array(spans, old_spans.type), pa.array(found, old_found.type)]
         return pa.StructArray.from_arrays(columns, names=["n_words", "n_hit", "spans", "found"])
 

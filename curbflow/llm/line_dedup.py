@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbflow.llm.groups import sorted_groups, stored
+from curbflow.llm.workers import give_back, lean
 
 MIN_WORDS = 10
 RANGE = 1 << 14
@@ -86,7 +87,7 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def ranked(spark: SparkSession, pairs: DataFrame) -> DataFrame:
     """(r, r2, n, name) of rows (r, r2, n): r plus the count of all rows of r with a smaller r2."""
     dealt = pairs.select("r", "r2", "n").repartitionByRange("r", "r2").sortWithinPartitions("r", "r2")
-    table = stored(spark, dealt.mapInArrow(_within, "p long, r long, r2 long, n long, within long, edge array<long>"), "names")
+    table = stored(spark, dealt.mapInArrow(lean(_within), "p long, r long, r2 long, n long, within long, edge array<long>"), "names")
     # a rank that goes on from partition to partition: one row for each partition
     carries, rank, held = [], None, 0
     for row in table.where("edge IS NOT NULL").select("p", "edge").orderBy("p").collect():
@@ -200,7 +201,7 @@ def neighbours(spark: SparkSession, levels: list[DataFrame]) -> DataFrame:
     """The suffix array (part, x, g, last, first) with the suffix before, p, last_p, first_p (-1 for none)."""
     order = final_ranks(levels).repartitionByRange("r", "g").sortWithinPartitions("r", "g").select("g", "last", "first")
     schema = "part long, x long, g long, last long, first long, p long, last_p long, first_p long, tail boolean"
-    order = stored(spark, order.mapInArrow(_beside, schema), "order")
+    order = stored(spark, order.mapInArrow(lean(_beside), schema), "order")
     # across partitions: one row for each
     fixes, before = [], (-1, -1, -1)
     for r in order.where("tail").select("part", "g", "last", "first").orderBy("part").collect():
@@ -378,12 +379,12 @@ def borders(ranges: DataFrame) -> DataFrame:
     """
     spark = ranges.sparkSession
     ends = ranges.select("range", F.expr("lcp[0]").alias("head"), "low", "left_g", "left_lcp", "right_g", "right_lcp")
-    ends = ends.repartitionByRange("range").sortWithinPartitions("range").mapInArrow(_placed, f"part long, range long, {_END}")
+    ends = ends.repartitionByRange("range").sortWithinPartitions("range").mapInArrow(lean(_placed), f"part long, range long, {_END}")
     ends = stored(spark, ends, "ends")
     dealt = lambda frame: frame.repartition("part").sortWithinPartitions("part", "range")
-    parts = dealt(ends).mapInArrow(_summaries, f"part long, {_END}")
-    across = stored(spark, parts.repartition(1).mapInArrow(_across, f"part long, {_BORDER}"), "across")
-    return dealt(ends.join(across, "part")).mapInArrow(_down, f"range long, {_BORDER}")
+    parts = dealt(ends).mapInArrow(lean(_summaries), f"part long, {_END}")
+    across = stored(spark, parts.repartition(1).mapInArrow(lean(_across), f"part long, {_BORDER}"), "across")
+    return dealt(ends.join(across, "part")).mapInArrow(lean(_down), f"range long, {_BORDER}")
 
 
 def longest_earlier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,9 +426,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     lines = repeated_lines(docs)
     array = common_prefixes(lines, prefix_doubling(lines))
-    ranges = stored(spark, array.repartition("range").sortWithinPartitions("range", "x").select("range", "g", "lcp").mapInArrow(packed_ranges, _RANGES), "ranges")
+    ranges = stored(spark, array.repartition("range").sortWithinPartitions("range", "x").select("range", "g", "lcp").mapInArrow(lean(packed_ranges), _RANGES), "ranges")
     both = ranges.select("range", "g", "lcp").join(borders(ranges), "range")
-    found = both.select("g", "lcp", "before_g", "before_lcp", "after_g", "after_lcp").mapInArrow(longest_earlier, "g long, lines long")
+    found = both.select("g", "lcp", "before_g", "before_lcp", "after_g", "after_lcp").mapInArrow(lean(longest_earlier), "g long, lines long")
     runs = found.join(lines.select("g", *_KEY, "pos"), "g").groupBy(*_KEY).agg(F.collect_list(F.struct("pos", "lines")).alias("runs"))
     return runs.select(*_KEY, F.col("runs.pos").alias("starts"), F.col("runs.lines").alias("lines"))
 
@@ -467,6 +468,7 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool
                 rows.append(without_runs(texts[i].as_py(), starts[i].values.to_numpy(), lines[i].values.to_numpy(), min_words))
             else:
                 rows.append((None, 0))
+        give_back()
         columns = [pa.array([t for t, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())]
         return pa.StructArray.from_arrays(columns, names=["text", "gone"])
 

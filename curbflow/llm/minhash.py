@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from curbflow.llm import textbytes as tb
 from curbflow.llm.groups import block_pairs, components, least_linked, sides, sorted_groups, stored
+from curbflow.llm.workers import lean
 
 WORDS, ROWS, BANDS, BITS = 5, 5, 25, 4
 HASHES = ROWS * BANDS
@@ -106,7 +107,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "doc_id long, n_shingles long, sum_a long, sum_b long, signature array<long>, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(task), schema)
 
 
 def _lists(table: np.ndarray) -> pa.Array:
@@ -144,7 +145,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                     names=["doc_id", "shingles"],
                 )
 
-    return stored(docs.sparkSession, some.mapInArrow(task, "doc_id long, shingles array<long>"), "sets")
+    return stored(docs.sparkSession, some.mapInArrow(lean(task), "doc_id long, shingles array<long>"), "sets")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -254,12 +255,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     open_ = stored(spark, placed.join(split.select("key"), "key"), "open")
     met = block_pairs(open_.join(code, "doc_id"), "key", "doc_id", BLOCK)
-    picked = stored(spark, met.mapInArrow(_promising(least), "key long, doc_id long").distinct(), "picked")
+    picked = stored(spark, met.mapInArrow(lean(_promising(least)), "key long, doc_id long").distinct(), "picked")
     if not picked.isEmpty():
         sets = full_sets(docs, picked).dropDuplicates(["doc_id"])
         met = block_pairs(picked.join(open_, ["key", "doc_id"]), "key", "doc_id", BLOCK).join(sets, "doc_id")
         met = met.repartition("group").sortWithinPartitions("group")
-        links = links.union(stored(spark, met.mapInArrow(_linked(percent), "a long, b long").distinct(), "links"))
+        links = links.union(stored(spark, met.mapInArrow(lean(_linked(percent)), "a long, b long").distinct(), "links"))
         joined = components(spark, links)
     out = rows.drop("signature", "bands").join(classes, named, "left").join(joined.withColumnRenamed("id", "class"), "class", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "class", "doc_id"))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm.tokens import WordBpe
+from curbflow.llm.workers import lean
 
 CAPACITY = 2048
 END_ID = 1
@@ -135,7 +136,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
         if rows:
             yield _batch(rows)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(task, WordBpe.forget), SCHEMA)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -1,6 +1,6 @@
 """Vectorised work on the UTF-8 bytes of whole text columns, inside Arrow tasks.
 
-A batch is cut into blocks of about a MB of text, which hold whole documents. Within a block words
+A batch is cut into blocks of a quarter MB of text, which hold whole documents. Within a block words
 are found in steps, which end between words and may end inside a document, so that temporary
 arrays stay small however long a document is. A null text counts as empty.
 """
@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
-STEP_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+STEP_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

@@ -37,11 +37,15 @@ class WordBpe:
 
     @classmethod
     def shared(cls, path: str) -> "WordBpe":
-        """One per worker process and file, so that later tasks find the words known."""
+        """One per worker process and file, until ``forget``."""
         if path not in cls._shared:
             cls._shared[path] = cls(path)
         return cls._shared[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        cls._shared.clear()
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 

@@ -24,10 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm.classify import TRAINING_ROWS, held_out, training_rows
+from curbflow.llm.workers import give_back
 
 THRESHOLD = 0.3
 VOCABULARY = 4096
@@ -60,7 +62,7 @@ class ToxicityModel:
     weights: dict[str, float]
     intercept: float
 
-    def score(self, texts: pd.Series) -> np.ndarray:
+    def score(self, texts: list[str | None]) -> np.ndarray:
         known = self.weights.keys()
         logits = np.array([sum(sorted(map(self.weights.__getitem__, known & words(t)))) for t in texts], float)
         return 1 / (1 + np.exp(-np.clip(logits + self.intercept, -50, 50)))
@@ -179,13 +181,20 @@ def _descend(x: _Sparse, y: np.ndarray, swapped: _Sparse, origin: np.ndarray, sc
     return w, float(b)
 
 
+def _scored(model: ToxicityModel):
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        scores = pa.array(model.score(texts.to_pylist()))
+        give_back()
+        return scores
+
+    return scored
+
+
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(texts))
-
+    scored = _scored(model)
     out = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), scored(F.col("text").cast("string")).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
@@ -193,11 +202,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents below the threshold, with their columns."""
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(texts))
-
-    return docs.where(scored(F.col("text").cast("string")) < threshold)
+    return docs.where(_scored(model)(F.col("text").cast("string")) < threshold)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
