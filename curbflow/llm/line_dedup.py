@@ -40,7 +40,7 @@ from curbflow.llm.workers import give_back, lean
 
 MIN_WORDS = 10
 RANGE = 1 << 14
-HOT = 64  # so many of the most frequent values are dealt to several tasks; each other has less than one in so many rows
+HOT = 64  # a value of more than one in so many rows is dealt to several tasks
 SALT = 16
 
 _KEY = ["id", "key"]
@@ -58,13 +58,15 @@ def weight(line: str) -> int:
 
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(p, r, r2, n, within, edge): how many of rank r have a smaller r2 in this partition, which is
-    sorted; a last row tells of the first and of the last rank (r and how many in the partition)."""
+    sorted; a last row tells of the first and of the last rank (r and how many in the partition), of
+    all rows and of the most rows of one pair."""
     p = TaskContext.get().partitionId()
-    first, last, names = None, None, ["p", "r", "r2", "n", "within", "edge"]
+    first, last, all_, most, names = None, None, 0, 0, ["p", "r", "r2", "n", "within", "edge"]
     for batch in batches:
         if not batch.num_rows:
             continue
         r, r2, n = (c.to_numpy() for c in batch.columns)
+        all_, most = all_ + int(n.sum()), max(most, int(n.max()))
         total = np.concatenate([[0], np.cumsum(n)])
         starts = np.flatnonzero(np.append(True, np.diff(r) != 0))
         sizes = np.diff(np.append(starts, len(r)))
@@ -81,30 +83,34 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
     if first is not None:
         none = [pa.nulls(1, pa.int64())] * 4
-        yield pa.RecordBatch.from_arrays([pa.array([p]), *none, pa.array([[*first, *last]], pa.list_(pa.int64()))], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([p]), *none, pa.array([[*first, *last, all_, most]], pa.list_(pa.int64()))], names=names)
 
 
-def ranked(spark: SparkSession, pairs: DataFrame) -> DataFrame:
-    """(r, r2, n, name) of rows (r, r2, n): r plus the count of all rows of r with a smaller r2."""
+def ranked(spark: SparkSession, pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(r, r2, n, name) of rows (r, r2, n): r plus the count of all rows of r with a smaller r2; and
+    the pairs (r, r2) that hold more than one in ``HOT`` rows, if there are any."""
     dealt = pairs.select("r", "r2", "n").repartitionByRange("r", "r2").sortWithinPartitions("r", "r2")
     table = stored(spark, dealt.mapInArrow(lean(_within), "p long, r long, r2 long, n long, within long, edge array<long>"), "names")
     # a rank that goes on from partition to partition: one row for each partition
-    carries, rank, held = [], None, 0
+    carries, rank, held, total, most = [], None, 0, 0, 0
     for row in table.where("edge IS NOT NULL").select("p", "edge").orderBy("p").collect():
-        first, first_n, last, last_n = row["edge"]
+        first, first_n, last, last_n, own, own_most = row["edge"]
+        total, most = total + own, max(most, own_most)
         carry = held if first == rank else 0
         carries.append((row["p"], first, carry))
         rank, held = last, last_n + (carry if first == last else 0)
     at = spark.createDataFrame(carries or [(0, 0, 0)], "p long, first long, carry long")
-    return table.where("edge IS NULL").join(F.broadcast(at), "p").select("r", "r2", "n", F.expr("r + within + IF(r = first, carry, 0L)").alias("name"))
+    hot = table.where(F.col("n") * HOT > total).select("r", "r2") if most * HOT > total else None
+    names = table.where("edge IS NULL").join(F.broadcast(at), "p")
+    return names.select("r", "r2", "n", F.expr("r + within + IF(r = first, carry, 0L)").alias("name")), hot
 
 
-def with_names(rows: DataFrame, names: DataFrame, keys: list[str], own: str) -> DataFrame:
-    """``rows`` joined with their ``names`` by ``keys``; ``n`` counts the rows of each key.
-
-    The rows of each of the ``HOT`` most frequent keys are dealt to ``SALT`` tasks by ``own``.
-    """
-    hot = names.orderBy(F.desc("n"), *keys).limit(HOT).select(*keys, F.lit(SALT).alias("salts"))
+def with_names(rows: DataFrame, names: DataFrame, hot: DataFrame | None, keys: list[str], own: str) -> DataFrame:
+    """``rows`` joined with their ``names`` by ``keys``. Rows of ``hot`` keys, of which there are less
+    than ``HOT``, are dealt to ``SALT`` tasks by ``own``."""
+    if hot is None:
+        return rows.join(names, keys)
+    hot = hot.select(*keys, F.lit(SALT).alias("salts"))
     flagged = lambda frame: frame.join(F.broadcast(hot), keys, "left")
     salt = F.pmod(F.xxhash64(own), F.coalesce("salts", F.lit(1))).cast("int")
     copies = F.explode(F.expr("sequence(0, coalesce(salts, 1) - 1)"))
@@ -121,8 +127,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         "id", "key", "pos", F.xxhash64("line").alias("r2")
     )
     shared = lines.groupBy("r2").agg(F.count("*").alias("n")).where("n > 1").select(F.lit(0).cast("long").alias("r"), "r2", "n")
-    names = ranked(spark, shared).select("r2", "n", "name")
-    kept = with_names(lines, names, ["r2"], "pos").select("id", "key", "pos", "n", F.col("name").alias("r"))
+    names, hot = ranked(spark, shared)
+    kept = with_names(lines, names.select("r2", "n", "name"), hot, ["r2"], "pos").select("id", "key", "pos", "n", F.col("name").alias("r"))
     dealt = kept.repartitionByRange(F.col("id").asc_nulls_last(), "key")
     doc = Window.partitionBy(*_KEY).orderBy("pos")
     # rows of one id and text are one document
@@ -150,8 +156,8 @@ def prefix_doubling(lines: DataFrame) -> list[DataFrame]:
         further = active.where(f"g + {size} <= last").withColumn("at", F.col("g") + size).join(ranks, "at").drop("at")
         pairs = further.union(active.where(f"g + {size} > last").withColumn("r2", F.lit(-1).cast("long")))
         pairs = stored(spark, pairs.select("g", "last", "first", "r", "r2"), "pairs")
-        names = ranked(spark, pairs.groupBy("r", "r2").agg(F.count("*").alias("n")))
-        levels.append(stored(spark, with_names(pairs, names, ["r", "r2"], "g").select("g", "last", "first", F.col("name").alias("r"), "n"), "ranks"))
+        names, hot = ranked(spark, pairs.groupBy("r", "r2").agg(F.count("*").alias("n")))
+        levels.append(stored(spark, with_names(pairs, names, hot, ["r", "r2"], "g").select("g", "last", "first", F.col("name").alias("r"), "n"), "ranks"))
 
 
 def _active(size: int) -> str:

@@ -111,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = T
         return ToxicityModel({v: float(c) for v, c in zip(vocabulary, w * scales) if c}, intercept)
     finally:
         sample.unpersist()
+        give_back()
 
 
 def swaps(present: set[str]) -> list[set[str]]:
@@ -136,22 +137,25 @@ def _matrix(sample: DataFrame, at: dict[str, int]):
                 rows.append((label, number(present), [number(s) for s in swaps(present)]))
             yield pd.DataFrame(rows, columns=["label", "own", "swapped"])
 
-    rows = sample.mapInPandas(task, "label int, own array<int>, swapped array<array<int>>").toPandas()
-    rows = rows.assign(key=rows["own"].map(lambda v: tuple(v))).sort_values(["label", "key"])
-    y = rows["label"].to_numpy(float)
-    swapped, origin = [], []
-    for i, many in enumerate(rows["swapped"]):
-        swapped += [list(s) for s in many]
-        origin += [i] * len(many)
-    return _Sparse([list(v) for v in rows["own"]], len(at)), y, _Sparse(swapped, len(at)), np.array(origin, int)
+    rows = sample.mapInPandas(task, "label int, own array<int>, swapped array<array<int>>").toArrow()
+    labels, own, many = rows["label"].to_numpy(), _arrays(rows["own"]), [_arrays(m) for m in rows["swapped"]]
+    order = sorted(range(len(own)), key=lambda i: (labels[i], own[i].astype(">i4").tobytes()))
+    swapped = [s for i in order for s in many[i]]
+    origin = np.repeat(np.arange(len(order)), [len(many[i]) for i in order])
+    return _Sparse([own[i] for i in order], len(at)), labels[order].astype(float), _Sparse(swapped, len(at)), origin
+
+
+def _arrays(lists) -> list[np.ndarray]:
+    """The rows of an Arrow column (or a list scalar) of integer lists."""
+    return [row.values.to_numpy() for row in (lists.values if isinstance(lists, pa.ListScalar) else lists)]
 
 
 class _Sparse:
     """A 0/1 matrix by rows: products with a vector from both sides."""
 
-    def __init__(self, rows: list[list[int]], width: int):
+    def __init__(self, rows: list[np.ndarray], width: int):
         self.width, self.n = width, len(rows)
-        self.columns = np.array([c for r in rows for c in r], int)
+        self.columns = np.concatenate(rows).astype(int) if rows else np.zeros(0, int)
         self.rows = np.repeat(np.arange(self.n), [len(r) for r in rows]) if rows else np.zeros(0, int)
 
     def times(self, w: np.ndarray) -> np.ndarray:

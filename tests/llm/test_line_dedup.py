@@ -97,7 +97,11 @@ def test_ranks_across_partitions(spark):
     rows = [(r, r2, 1 + (r * r2) % 3) for r, many in ((0, 500), (700, 1), (800, 3), (2000, 400)) for r2 in range(-1, many - 1)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = {(x["r"], x["r2"]): x["name"] for x in line_dedup.ranked(spark, spark.createDataFrame(rows, "r long, r2 long, n long")).collect()}
+        names, hot = line_dedup.ranked(spark, spark.createDataFrame(rows, "r long, r2 long, n long"))
+        got = {(x["r"], x["r2"]): x["name"] for x in names.collect()}
+        assert hot is None
+        _, hot = line_dedup.ranked(spark, spark.createDataFrame([*rows, (5000, 7, 90)], "r long, r2 long, n long"))
+        assert [tuple(x) for x in hot.collect()] == [(5000, 7)]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == {(r, r2): r + sum(n for a, b, n in rows if a == r and b < r2) for r, r2, _ in rows}
