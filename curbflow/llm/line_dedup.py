@@ -478,7 +478,8 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool
         columns = [pa.array([t for t, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())]
         return pa.StructArray.from_arrays(columns, names=["text", "gone"])
 
-    # only texts with runs go to Python
+    # only texts with runs go to Python, and only once
+    cut = cut.asNondeterministic()
     done = joined.select("row", cut(F.when(F.col("starts").isNotNull(), text), "starts", "lines").alias("cut"))
     done = done.select(F.col("row").withField("text", F.coalesce("cut.text", text)).alias("row"), F.col("cut.gone").alias("gone"))
     if drop_emptied:

@@ -23,13 +23,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm.classify import TRAINING_ROWS, held_out, training_rows
-from curbflow.llm.workers import give_back
+from curbflow.llm.workers import give_back, lean
 
 THRESHOLD = 0.3
 VOCABULARY = 4096
@@ -71,16 +70,16 @@ class ToxicityModel:
 def word_counts(sample: DataFrame) -> DataFrame:
     """Of each word: texts that hold it, by label (word, plain, toxic)."""
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[str, list[int]] = {}
-            for text, label in zip(batch["text"], batch["label"]):
+            for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
                 for word in words(text):
                     counts.setdefault(word, [0, 0])[label] += 1
-            rows = [(w, *c) for w, c in counts.items()]
-            yield pd.DataFrame(rows, columns=["word", "plain", "toxic"])
+            columns = [pa.array(counts, pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "plain", "toxic"])
 
-    partial = sample.mapInPandas(task, "word string, plain long, toxic long")
+    partial = sample.mapInArrow(lean(task), "word string, plain long, toxic long")
     return partial.groupBy("word").agg(F.sum("plain").alias("plain"), F.sum("toxic").alias("toxic"))
 
 
@@ -128,16 +127,18 @@ def swaps(present: set[str]) -> list[set[str]]:
 def _matrix(sample: DataFrame, at: dict[str, int]):
     """Sparse rows (as flat column lists) of the sample and of its counterfactuals."""
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, label in zip(batch["text"], batch["label"]):
+            for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
                 present = words(text)
                 number = lambda s: sorted(at[w] for w in s if w in at)
                 rows.append((label, number(present), [number(s) for s in swaps(present)]))
-            yield pd.DataFrame(rows, columns=["label", "own", "swapped"])
+            lists = pa.list_(pa.int32())
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), lists, pa.list_(lists)))]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "own", "swapped"])
 
-    rows = sample.mapInPandas(task, "label int, own array<int>, swapped array<array<int>>").toArrow()
+    rows = sample.mapInArrow(lean(task), "label int, own array<int>, swapped array<array<int>>").toArrow()
     labels, own, many = rows["label"].to_numpy(), _arrays(rows["own"]), [_arrays(m) for m in rows["swapped"]]
     order = sorted(range(len(own)), key=lambda i: (labels[i], own[i].astype(">i4").tobytes()))
     swapped = [s for i in order for s in many[i]]
