@@ -127,16 +127,136 @@ def _terms(centres: Centres) -> list[list[str]]:
     return [[f"({float(x)!r}D)" for x in c] for c in centres.coords]
 
 
+# Beyond the box of all centres cells double in size, up to so many doublings of the box; what lies
+# further out is one cell.
+RINGS = 8
+GROUP_CELLS = 8  # cells on a side that share a first choice of candidates
+BROADCAST_BYTES = 64 << 20  # a larger table of cells is joined by shuffle
+
+
+@dataclass(frozen=True)
+class _Axis:
+    """One coordinate cut into cells over the centres' range, and rings of doubling width outside."""
+
+    low: float
+    high: float
+    cells: int
+
+    @property
+    def width(self) -> float:
+        return (self.high - self.low) or 1.0
+
+    @property
+    def step(self) -> float:
+        return self.width / self.cells
+
+    @property
+    def rings(self) -> int:
+        return RINGS + math.ceil(math.log2(self.cells))
+
+    @property
+    def span(self) -> int:
+        """Bounded cells."""
+        return self.cells + 2 * self.rings
+
+    @property
+    def bounds(self) -> np.ndarray:
+        """Least and greatest coordinate of each bounded cell, with room for rounding."""
+        inner = self.low + self.step * np.arange(self.cells + 1)
+        rings = self.step * (2.0 ** np.arange(1, self.rings + 1) - 1)
+        edges = np.concatenate([self.low - rings[::-1], inner, max(self.high, inner[-1]) + rings])
+        slack = 1e-9 * (np.abs(edges) + self.width)
+        return np.stack([(edges - slack)[:-1], (edges + slack)[1:]], axis=1)
+
+    def number(self, column: str) -> str:
+        """SQL: the cell's number from 0; -1 and ``span`` are the unbounded ones."""
+        ring = f"CAST(least(floor(log2(1 + ({{}}) / {self.step!r}D)), {self.rings}) AS INT)"
+        below, above = ring.format(f"{self.low!r}D - {column}"), ring.format(f"{column} - {self.high!r}D")
+        inner = f"CAST(least(floor(({column} - {self.low!r}D) / {self.step!r}D), {self.cells - 1}) AS INT)"
+        return (
+            f"CASE WHEN {column} < {self.low!r}D THEN {self.rings - 1} - {below} WHEN {column} > {self.high!r}D"
+            f" THEN {self.rings + self.cells} + {above} ELSE {self.rings} + {inner} END"
+        )
+
+
+def _possible(coords: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Of each box (rows of low and high corners) which centres can be nearest to one of its points.
+
+    A centre can't where another one is nearer to all four corners, as the points that are nearer
+    to one of two centres form a half plane. The centres closest to the corners and to the middle
+    are tried as the others. Where it is close, by rounding, a centre stays.
+    """
+
+    def squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return (coords[None, :, 0] - x[:, None]) ** 2 + (coords[None, :, 1] - y[:, None]) ** 2
+
+    corners = [squares(x, y) for x in (low[:, 0], high[:, 0]) for y in (low[:, 1], high[:, 1])]
+    middle = squares((low[:, 0] + high[:, 0]) / 2, (low[:, 1] + high[:, 1]) / 2)
+    fit = np.ones(middle.shape, bool)
+    for other in {tuple(d.argmin(1)) for d in (middle, *corners)}:
+        own = [d[np.arange(len(low)), other][:, None] for d in corners]
+        fit &= ~np.logical_and.reduce([o < d * (1 - 1e-9) for o, d in zip(own, corners)])
+    return fit
+
+
+def _cells(coords: np.ndarray) -> tuple[tuple[_Axis, _Axis], pa.Table]:
+    """The axes, and a table (cell, candidates): every centre that can be nearest to a point of the cell."""
+    side = math.ceil(2 * math.sqrt(len(coords)))
+    axes = tuple(_Axis(float(v.min()), float(v.max()), side) for v in coords.T)
+    across = [axis.bounds for axis in axes]
+    span = axes[0].span
+    keys, counts, found = [np.array([-1])], [np.array([len(coords)])], [np.arange(len(coords))]  # the unbounded cell
+    for a in range(0, span, GROUP_CELLS):
+        for b in range(0, span, GROUP_CELLS):
+            x, y = across[0][a : a + GROUP_CELLS], across[1][b : b + GROUP_CELLS]
+            (some,) = _possible(coords, np.array([[x[0, 0], y[0, 0]]]), np.array([[x[-1, 1], y[-1, 1]]]))
+            some = np.flatnonzero(some)
+            i, j = (v.ravel() for v in np.meshgrid(np.arange(len(x)), np.arange(len(y)), indexing="ij"))
+            box = [np.stack([x[i, side_], y[j, side_]], axis=1) for side_ in (0, 1)]
+            fit = _possible(coords[some], *box)
+            keys.append((a + i) * span + b + j)
+            counts.append(fit.sum(1))
+            found.append(some[np.nonzero(fit)[1]])
+    flat, keys = np.concatenate(found), np.concatenate(keys)
+    at = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+    rows = pa.StructArray.from_arrays(
+        [pa.array(flat.astype(np.int32)), pa.array(coords[flat, 0]), pa.array(coords[flat, 1])], names=["cluster", "x", "y"]
+    )
+    return axes, pa.table({"_cell": pa.array(keys, pa.int64()), "_candidates": pa.ListArray.from_arrays(pa.array(at), rows)})
+
+
+def _with_nearest_by_cell(points: DataFrame, columns: tuple[str, ...], centres: Centres, name: str) -> DataFrame:
+    """Adds the number of the nearest centre, found among the few that can be nearest in the point's cell.
+
+    The cells are a grid over the box of all centres, with as many cells as there are centres, times
+    four, so a point's work does not grow with their number. The join is on the integer cell.
+    """
+    (across, along), table = _cells(np.array(centres.coords, float))
+    x, y = _quoted(columns)
+    i, j, span = across.number(x), along.number(y), across.span
+    cell = F.expr(f"transform(array(struct({i} AS i, {j} AS j)), c -> IF(least(c.i, c.j) < 0 OR greatest(c.i, c.j) >= {span}, -1L, CAST(c.i AS BIGINT) * {span} + c.j))[0]")
+    cells = points.sparkSession.createDataFrame(table)
+    placed = points.withColumn("_cell", F.coalesce(cell, F.lit(-1).cast("long")))
+    joined = placed.join(F.broadcast(cells) if table.nbytes <= BROADCAST_BYTES else cells, "_cell")
+    distance = _squared_distance([x, y], ["c.x", "c.y"])
+    nearest = F.expr(f"array_min(transform(_candidates, c -> struct({distance} AS d, c.cluster AS cluster))).cluster")
+    return joined.select(*[f"`{c}`" for c in points.columns if c != name], F.coalesce(nearest, F.lit(0)).alias(name))
+
+
 def assign_clusters(
     points: DataFrame, centres: Centres, columns: tuple[str, ...] = POINT_COLUMNS
 ) -> DataFrame:
     """Adds ``cluster`` to the points that have coordinates; others are left out.
 
-    No join and no shuffle, in batch or stream. The column is declared free of nulls: else a
-    later join or filter on it would push a null test below this projection, and with it a
-    second copy of all distances.
+    Up to ``BLOCK_CENTRES`` centres, or in other than two dimensions, all distances stand in a
+    projection, without a join; more centres are narrowed down by cells. No shuffle, in batch or stream.
+    The column is declared free of nulls: else a later join or filter on it would push a null
+    test below this projection, and with it a second copy of all distances.
     """
-    return _with_nearest(points.filter(has_numbers(list(columns))), columns, _terms(centres), "cluster")
+    placed = points.filter(has_numbers(list(columns)))
+    if len(columns) == 2 and centres.k > BLOCK_CENTRES and np.isfinite(centres.coords).all():
+        return _with_nearest_by_cell(placed, columns, centres, "cluster")
+    return _with_nearest(placed, columns, _terms(centres), "cluster")
 
 
 def cluster_sums(

@@ -18,6 +18,7 @@ START_WEIGHT = 10.0
 POINT_DECAY = 0.9999
 RANDOM_SEED = 7
 MANY = [(39.5 + i * 0.13, -74.5 + j * 0.11) for i in range(15) for j in range(20)]
+MORE = [(39.5 + i * 0.0195, -74.5 + j * 0.022) for i in range(100) for j in range(100)]
 # The SQL has a block of entries for each window; it raises an error on longer data.
 SQL_WINDOWS = 8
 SQL_BATCH_NUMBER = f"CAST(floor(epoch(ts) / {EVERY.days * 86400}) AS BIGINT)"
@@ -54,6 +55,12 @@ def kmeans_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.select("trip_id", "cluster")
 
 
+def kmeans_thousands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points by the nearest of 10,000 centres on a grid."""
+    assigned = c.assign_clusters(common.points(spark, sf_dir), c.given_centres(MORE))
+    return assigned.select("trip_id", "cluster")
+
+
 def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One update of the centres by all user points as one batch."""
     return _step(spark, sf_dir, DECAY)
@@ -115,6 +122,7 @@ QUERIES = {
     for f in (
         cluster_sums,
         kmeans_many,
+        kmeans_thousands,
         kmeans_step,
         kmeans_no_decay,
         kmeans_point_decay,
@@ -189,6 +197,8 @@ ORACLES = {
     "cluster_sums": f"""WITH {common.SQL_ASSIGNED}, {_USERS}, {_SUMS}
 SELECT CAST(cluster AS INTEGER) AS cluster, n, round(slat, 4) AS sum_lat, round(slon, 4) AS sum_lon FROM sums""",
     "kmeans_many": f"""WITH {common.SQL_POINTS}, {common.sql_centres(MANY)}, {common.sql_assign('points', 'centres', 'assigned')}
+SELECT trip_id, CAST(cluster AS INTEGER) AS cluster FROM assigned""",
+    "kmeans_thousands": f"""WITH {common.SQL_POINTS}, {common.sql_centres(MORE)}, {common.sql_assign('points', 'centres', 'assigned')}
 SELECT trip_id, CAST(cluster AS INTEGER) AS cluster FROM assigned""",
     "kmeans_step": _sql_step(SQL_DECAY),
     "kmeans_no_decay": _sql_step("1.0e0"),

@@ -199,3 +199,36 @@ def test_empty_windows_cost_no_job(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(history) == 61 and len(jobs) <= 8
     assert history[1][1].weights == (0.5,)
+
+
+@pytest.mark.parametrize("kind", ["spread", "line", "clumped", "one place"])
+def test_many_centres_by_cell(spark, kind):
+    """Points near, between and far beyond many centres get the nearest of all, ties to the lowest."""
+    rng = np.random.default_rng(4)
+    k = 700
+    coords = {
+        "spread": rng.normal(size=(k, 2)) * [1.0, 30.0],
+        "line": np.stack([np.round(rng.uniform(0, 9, k), 1), np.full(k, 5.0)], axis=1),
+        "clumped": np.concatenate([rng.normal(size=(k - 3, 2)) * 1e-4, [[50, 50], [-80, 3], [1e3, 1e3]]]),
+        "one place": np.full((k, 2), 2.5),
+    }[kind]
+    points = np.concatenate([coords[:300], coords[:300] + rng.normal(size=(300, 2)) * 0.01, rng.normal(size=(500, 2)) * 40, rng.normal(size=(200, 2)) * 1e5, [[1e300, 0], [0, -1e300]]])
+    points = np.concatenate([points, np.round(points, 1)[:600]])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "id int, lat double, lon double")
+    centres = c.given_centres([tuple(map(float, x)) for x in coords])
+    got = {r["id"]: r["cluster"] for r in c.assign_clusters(df, centres).collect()}
+    with np.errstate(over="ignore"):
+        d = (points[:, None, 0] - coords[None, :, 0]) ** 2 + (points[:, None, 1] - coords[None, :, 1]) ** 2
+    assert got == dict(enumerate(d.argmin(1).tolist()))
+
+
+def test_candidates_do_not_grow_with_centres():
+    sizes = {}
+    for k in (400, 6400):
+        coords = np.random.default_rng(1).uniform(size=(k, 2))
+        (axis, _), table = c._cells(coords)
+        counts = np.array([len(x) for x in table["_candidates"][1:]])
+        at = np.array(table["_cell"][1:])
+        inside = [(v >= axis.rings) & (v < axis.rings + axis.cells) for v in (at // axis.span, at % axis.span)]
+        sizes[k] = counts[inside[0] & inside[1]].mean()
+    assert sizes[6400] < 1.2 * sizes[400] < 20
