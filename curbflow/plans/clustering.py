@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.operators import cluster as c
@@ -24,6 +24,11 @@ SQL_WINDOWS = 8
 SQL_BATCH_NUMBER = f"CAST(floor(epoch(ts) / {EVERY.days * 86400}) AS BIGINT)"
 
 
+def batch_number(ts: str) -> Column:
+    """The number of the five-day window that holds ``ts``, counted from the epoch."""
+    return F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / (EVERY.days * 86400))
+
+
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common.points(spark, sf_dir).filter("topic = 'users'")
 
@@ -185,6 +190,16 @@ def _sql_batch(b: str) -> str:
     return f"strftime(make_timestamp(CAST({b} AS BIGINT) * {EVERY.days * 86400} * 1000000), '%Y-%m-%d')"
 
 
+SQL_LIVE_MODELS = f"""WITH {_sql_fold()} SELECT CAST(h.b - edge.lo AS INTEGER) AS batch, CAST(cluster AS INTEGER) AS cluster,
+  round(clat, 6) AS lat, round(clon, 6) AS lon, round(w, 6) AS weight FROM history h, edge"""
+
+SQL_BATCH_RATIOS = f"""WITH {_sql_fold()}, {common.sql_assign('placed', 'history', 'result', 'p.b = c.b')},
+counted AS (SELECT b, cluster, count(*) FILTER (topic = 'users') AS u_count, count(*) FILTER (topic = 'cars') AS c_count
+  FROM result GROUP BY ALL)
+SELECT CAST(b - lo AS INTEGER) AS batch, CAST(cluster AS INTEGER) AS cluster, u_count, c_count,
+  round(u_count / c_count, 6) AS ratio FROM counted, edge WHERE u_count > 0 AND c_count > 0"""
+
+
 def _sql_assigned_in_turn(shift: int) -> str:
     on = f"greatest(least(p.b - {shift}, (SELECT hi FROM edge)), (SELECT lo FROM edge) - 1) = c.b"
     models = """models AS (SELECT b, cluster, clat, clon FROM history

@@ -17,7 +17,7 @@ from curbflow.sinks.messages import stream_topics, write_topics
 from curbflow.sources.files import read_index
 from curbflow.sources.tables import as_trips, stream_table, trips
 from curbflow.sources.topics import Topics, read_topics
-from curbflow.streaming import jobs, training
+from curbflow.streaming import jobs, live, training
 
 DELAY = "1 hour"
 EVERY = timedelta(days=5)
@@ -130,7 +130,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.finish(stream_index(lost, run.path("lost"), run.path("checkpoint-1"), interval=None))
     kept = jobs.trip_points(messages).select("topic", "trip_id", "ts")
     run.finish(stream_index(kept, run.path("kept"), run.path("checkpoint-2"), interval=None))
-    good = read_index(spark, run.path("kept")).filter("ts IS NOT NULL").select("topic", F.lit("none").alias("reason"))
+    good = read_index(spark, run.path("kept")).select("topic", F.lit("none").alias("reason"))
     every = good.union(read_index(spark, run.path("lost")).select("topic", "reason"))
     return every.groupBy("topic", "reason").agg(F.count("*").alias("n"))
 
@@ -160,6 +160,30 @@ def stream_point_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 
+def _live(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Five-day batches arrive one after the other, and the stream is started anew for each."""
+    run = Run(spark, "live")
+    points = common.points(spark, sf_dir).select("topic", "lat", "lon", clustering.batch_number("ts").alias("b"))
+    points.write.partitionBy("b").parquet(run.path("points"))
+    schema = "topic string, lat double, lon double"
+    for r in spark.read.parquet(run.path("points")).select("b").distinct().orderBy("b").collect():
+        spark.read.schema(schema).parquet(f"{run.path('points')}/b={r['b']}").write.mode("append").parquet(run.path("arrived"))
+        arrived = spark.readStream.schema(schema).parquet(run.path("arrived"))
+        run.finish(live.stream_live_model(arrived, run.path("out"), run.path("checkpoint"), common.centres(), clustering.DECAY, None))
+    return spark.read.parquet(run.path(f"out/{table}"))
+
+
+def stream_live_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model after each micro-batch of a stream that trains while it runs."""
+    rounded = [F.round(c, 6).alias(c) for c in ("lat", "lon", "weight")]
+    return _live(spark, sf_dir, "models").select(F.col("batch").cast("int"), "cluster", *rounded)
+
+
+def stream_batch_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users, cars and their ratio for each cluster of each micro-batch, by the model it has learned."""
+    return _live(spark, sf_dir, "ratios").select(F.col("batch").cast("int"), "cluster", "u_count", "c_count", F.round("ratio", 6).alias("ratio"))
+
+
 def _trained(run: Run, sf_dir: str) -> list:
     points = jobs.trip_points(run.messages(sf_dir))
     run.finish(training.land_points(points, run.path("landed"), run.path("checkpoint"), "day", None))
@@ -253,6 +277,8 @@ QUERIES = {
     for f in (
         stream_tumbling_counts,
         stream_supply_demand,
+        stream_live_training,
+        stream_batch_ratios,
         stream_enriched_index,
         stream_event_index,
         stream_filter_republish,
@@ -296,6 +322,8 @@ SELECT topic, CASE WHEN trip_id % 83 = 0 THEN 'json' WHEN lat IS NULL OR lon IS
     "stream_tumbling_counts": f"""WITH {common.SQL_TRIPS}
 SELECT strftime(ts, '%Y-%m-%d') AS window_start, topic, count(*) AS n FROM trips
 WHERE {_CLOSED.format(source='trips')} GROUP BY ALL""",
+    "stream_live_training": clustering.SQL_LIVE_MODELS,
+    "stream_batch_ratios": clustering.SQL_BATCH_RATIOS,
     "stream_supply_demand": f"""WITH {common.SQL_ASSIGNED}, counted AS (
   SELECT strftime(ts, '%Y-%m-%d') AS window_start, cluster,
     count(*) FILTER (topic = 'users') AS u_count, count(*) FILTER (topic = 'cars') AS c_count

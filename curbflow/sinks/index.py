@@ -113,7 +113,7 @@ def merge_into_index(
     """Upserts into a stored index that is partitioned by a hash of the id.
 
     Only the buckets that hold an updated id are read and rewritten. An index keeps the bucket
-    number it was created with; another one is refused. A stored document that comes after an
+    number it was created with, in the name of a file beside the data; another one is refused. A stored document that comes after an
     update in ``order`` stays. The new state of the buckets is written aside under the shared
     folder first, so a failed rewrite can be repeated from there.
     """
@@ -123,13 +123,16 @@ def merge_into_index(
     latest = spark.read.schema(latest.schema).parquet(aside)
     if not _path_exists(spark, path):
         latest.hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(path)
+        _mark_buckets(spark, path, buckets)
         return
     # at most `buckets` integers reach the driver
     touched = [r["_bucket"] for r in latest.select("_bucket").distinct().collect()]
     index = spark.read.parquet(path)
-    # under another number hardly any row would lie in its bucket
-    if not index.limit(1000).filter(bucket_of(id, buckets) != F.col("_bucket")).isEmpty():
-        raise ValueError(f"the index at {path} has another number of buckets than {buckets}")
+    if not _path_exists(spark, _bucket_mark(path, buckets)):
+        # an index without a mark: every row must lie in its bucket
+        if _bucket_marks(spark, path) or not index.filter(bucket_of(id, buckets) != F.col("_bucket")).isEmpty():
+            raise ValueError(f"the index at {path} has another number of buckets than {buckets}")
+        _mark_buckets(spark, path, buckets)
     stored = index.filter(F.col("_bucket").isin(touched))
     replaced = stored.join(latest.select(id), id, "left_semi").unionByName(latest)
     merged = stored.join(latest.select(id), id, "left_anti").unionByName(latest_by_id(replaced, id, order))
@@ -144,6 +147,22 @@ def merge_into_index(
     )
 
 
+def _bucket_mark(path: str, buckets: int) -> str:
+    """An empty file beside the data that names the bucket number; readers skip names with an underscore."""
+    return f"{path}/_buckets-{buckets}"
+
+
+def _bucket_marks(spark: SparkSession, path: str) -> list[str]:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)]
+    return [n for n in names if n.startswith("_buckets-")]
+
+
+def _mark_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(_bucket_mark(path, buckets))
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

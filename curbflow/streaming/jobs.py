@@ -87,9 +87,9 @@ def quarantined_messages(messages: DataFrame) -> DataFrame:
 
 
 def trip_points(messages: DataFrame) -> DataFrame:
-    """Demand and supply points of the decodable messages, without null coordinates."""
+    """Demand and supply points of the decodable messages that have a finite place and a readable time."""
     trips, _ = decoded_trips(messages)
-    return drop_null_points(to_points(trips), ["lat", "lon"])
+    return to_points(trips).filter(has_numbers(["lat", "lon"]) & F.col("ts").isNotNull())
 
 
 def enriched_messages(points: DataFrame, centres: Centres) -> DataFrame:

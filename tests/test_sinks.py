@@ -1,6 +1,7 @@
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from curbflow.functions import predicates as p
@@ -85,6 +86,20 @@ def test_merge_is_repeatable_and_touches_few_buckets(spark, tmp_path):
     assert sum(before[d] != files()[d] for d in before) == 1
 
 
+@pytest.mark.parametrize("marked", [True, False])
+def test_another_bucket_number_is_refused(spark, tmp_path, marked):
+    """From 64 to 32 buckets half of all rows lie in the bucket of both numbers."""
+    path = str(tmp_path / "ix")
+    index.merge_into_index(spark, path, versions(spark, [(i, 1, "a") for i in range(300)]), "id", ["at"], 64)
+    if not marked:
+        os.remove(f"{path}/_buckets-64")
+    for wrong in (32, 128, 63):
+        with pytest.raises(ValueError):
+            index.merge_into_index(spark, path, versions(spark, [(7, 2, "new")]), "id", ["at"], wrong)
+    index.merge_into_index(spark, path, versions(spark, [(7, 2, "new")]), "id", ["at"], 64)
+    assert spark.read.parquet(path).count() == 300 and os.path.exists(f"{path}/_buckets-64")
+
+
 def test_archive_rolls_and_loses_nothing(spark, tmp_path):
     df = spark.range(0, 2500, 1, 1).select(F.col("id").cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
     archive_points(df, str(tmp_path / "a"), max_records=1000)

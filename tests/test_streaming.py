@@ -11,7 +11,7 @@ from curbflow.sinks.index import stream_index
 from curbflow.sinks.messages import stream_topics, write_topics
 from curbflow.sources.tables import trips
 from curbflow.sources.topics import Topics, read_topics
-from curbflow.streaming import jobs, training
+from curbflow.streaming import jobs, live, training
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +117,43 @@ def test_one_pass_trains_users_only_and_keeps_late_points_out(spark, tmp_path):
     place(late).write.mode("append").partitionBy("part").parquet(str(tmp_path / "landed"))
     assert training.train_closed_windows(*args) == []
     assert training.latest_model(spark, str(tmp_path / "models"), 1)[1].weights == (0.5,)
+
+
+def test_live_model_survives_a_failure_within_a_batch(spark, sf_dir, tmp_path, monkeypatch):
+    """A batch that fails half way, and one that is run again, leave what a smooth run leaves."""
+    points = common.points(spark, sf_dir).select("topic", "lat", "lon", clustering.batch_number("ts").alias("b"))
+    parts = [r[0] for r in points.select("b").distinct().orderBy("b").collect()][:3]
+    start, schema, source = common.centres(), "topic string, lat double, lon double", str(tmp_path / "in")
+
+    def run(out):
+        query = live.stream_live_model(spark.readStream.schema(schema).parquet(source), out, out + "-checkpoint", start, 0.9, None)
+        query.awaitTermination()
+
+    def tables(out):
+        return [rows(spark.read.parquet(f"{out}/models"), ["batch", "cluster", "lat", "lon", "weight"]), rows(spark.read.parquet(f"{out}/ratios"), ["batch", "cluster", "u_count", "c_count"])]
+
+    smooth, rough = str(tmp_path / "smooth"), str(tmp_path / "rough")
+    for k, b in enumerate(parts):
+        points.filter(F.col("b") == b).select("topic", "lat", "lon").write.mode("append").parquet(source)
+        run(smooth)
+        if k == 1:
+            with monkeypatch.context() as broken:
+                broken.setattr(c.Centres, "to_df", lambda *a: 1 / 0)  # after the ratios, before the model
+                with pytest.raises(Exception):
+                    run(rough)
+            assert live.versions(spark, rough) == [0]
+        run(rough)
+    assert live.versions(spark, rough) == [0, 1, 2]
+    once = tables(smooth)
+    assert [[r[:2] for r in t] for t in tables(rough)] == [[r[:2] for r in t] for t in once]
+    assert all(abs(x - y) < 1e-9 for a, b in zip(tables(rough), once) for p, q in zip(a, b) for x, y in zip(p, q))
+    again = points.filter(F.col("b") == parts[1])
+    live.batch_step(rough, start, 0.9)(again, 1)
+    assert [[r[:2] for r in t] for t in tables(rough)] == [[r[:2] for r in t] for t in once]
+
+
+def test_kept_and_quarantined_are_apart(spark):
+    text = '{"VendorID": "1", "timestamp": "soon", "pickup_latitude": 40.5, "pickup_longitude": -73.9, "dropoff_latitude": 40.5, "dropoff_longitude": -73.9}'
+    messages = spark.createDataFrame([("users", "1", text), ("cars", "2", "no json")], "topic string, key string, value string")
+    assert jobs.trip_points(messages).count() == 0
+    assert sorted(r["reason"] for r in jobs.quarantined_messages(messages).collect()) == ["json", "time"]
