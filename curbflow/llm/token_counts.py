@@ -9,7 +9,7 @@ and a failed write leaves nothing that counts.
 Columns of a change: change_id, op (``insert``, ``delete`` or ``revise``), source, lang, tokenizer,
 n_tokens, and for revisions old_n_tokens, the count that it replaces.
 
-Defined results: repeated rows of one change_id within a batch count once (rows without an id each
+Defined results: rows of one change_id within a batch count once, as the greatest of them (rows without an id each
 count); a null count is 0; null sources, languages and tokenizers are groups of their own; rows
 with another or no op change nothing; an empty batch commits as one without groups. Other columns
 are not read.
@@ -22,9 +22,7 @@ from __future__ import annotations
 
 import urllib.parse
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,22 +37,27 @@ _SCHEMA = "source string, lang string, tokenizer string, d_docs long, d_tokens l
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``docs`` as struct ``row`` with n_tokens, by a vocabulary file that every executor can open."""
-    from pyspark.sql import types as T
 
-    frame = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"))
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("long")
+    def counted(texts: pa.Array) -> pa.Array:
         bpe = WordBpe.shared(tokenizer)
-        for batch in batches:
-            counts = np.array([len(ids) for _, ids in bpe.encode(batch.column(1))], np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["row", "n_tokens"])
+        return pa.array([len(ids) for _, ids in bpe.encode(texts)], pa.int64())
+
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    return docs.select(row, counted(docs["text"].cast("string")).alias("n_tokens"))
+
 
-    return frame.mapInArrow(task, T.StructType([frame.schema["row"], T.StructField("n_tokens", T.LongType())]))
+def one_of_each(rows: DataFrame, id: str) -> DataFrame:
+    """One row for each id: of rows that contradict each other the greatest by all columns, whatever
+    their order. Rows with a null id stay."""
+    rest = [c for c in rows.columns if c != id]
+    one = rows.where(f"{id} IS NOT NULL").groupBy(id).agg(F.max(F.struct(*rest)).alias("_one")).select(id, "_one.*")
+    return one.select(*rows.columns).union(rows.where(f"{id} IS NULL"))
 
 
 def signed(changes: DataFrame) -> DataFrame:
     """The sums of a batch by group: d_docs, d_tokens."""
-    named = changes.where("change_id IS NOT NULL").dropDuplicates(["change_id"]).union(changes.where("change_id IS NULL"))
+    named = one_of_each(changes, "change_id")
     sign = F.expr("CASE op WHEN 'insert' THEN 1 WHEN 'delete' THEN -1 WHEN 'revise' THEN 0 END").cast("long")
     new, old = F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)), F.coalesce(F.col("old_n_tokens").cast("long"), F.lit(0))
     tokens = F.when(F.col("op") == "revise", new - old).otherwise(sign * new)
@@ -81,7 +84,7 @@ class TokenLedger:
         if self.has(batch_id):
             return False
         aside = f"{self.path}/pending/{uuid.uuid4().hex}"
-        signed(changes.select("change_id", "op", *GROUP, "n_tokens", "old_n_tokens")).coalesce(1).write.parquet(aside)
+        signed(changes.select("change_id", "op", *GROUP, "n_tokens", "old_n_tokens")).write.parquet(aside)
         self._files.mkdirs(self._paths(f"{self.path}/batches"))
         # a writer that came second finds the folder and its rename is refused or nests nothing
         if self.has(batch_id) or not self._files.rename(self._paths(aside), self._paths(self._folder(batch_id))):
@@ -102,14 +105,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after three batches over all documents: every document comes in; copies of a text with
     a smaller id go; the others' counts are revised for an end token. The deletions come twice.
 
-    A null text is a text of its own without tokens. A null id comes after all others."""
+    A null text is a text of its own without tokens. A null id comes after all others. An id with
+    several texts is one document, with the greatest of its rows."""
     import public_tokenizers
 
     name = "word_bpe_49k.json"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", "text")
     keyed = docs.select("*", F.xxhash64("text").alias("a"), F.coalesce(F.crc32(F.reverse("text")), F.lit(-1)).alias("b"))
     counted = count_tokens(keyed, public_tokenizers.path(name)).select("row.doc_id", "row.source", "row.lang", "row.a", "row.b", "n_tokens")
-    counted = stored(spark, counted, "counts")
+    counted = stored(spark, one_of_each(counted, "doc_id"), "counts")
     first = counted.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
     seen = counted.join(first, ["a", "b"]).select(
         F.col("doc_id").alias("change_id"), "source", "lang", F.lit(name).alias("tokenizer"), "n_tokens", F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull()).alias("copy")

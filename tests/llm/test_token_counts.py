@@ -64,3 +64,17 @@ def test_counts_of_odd_texts(spark):
     frame = spark.createDataFrame([(i, t, "n") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens string")
     got = [r["n_tokens"] for r in sorted(token_counts.count_tokens(frame, public_tokenizers.path("word_bpe_49k.json")).collect(), key=lambda r: r["row"]["doc_id"])]
     assert got == [len(bpe.encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
+def test_contradicting_rows_in_any_order(spark, tmp_path):
+    """Rows of one id that contradict each other, in a batch or in the documents, give one result."""
+    rows = [(5, "insert", "a", "en", "v1", 10, None, "x"), (5, "insert", "b", "en", "v1", 3, None, "x")]
+    found = {tuple(map(tuple, token_counts.signed(spark.createDataFrame(r, SCHEMA).coalesce(1)).collect())) for r in (rows, rows[::-1])}
+    assert found == {(("b", "en", "v1", 1, 3),)}
+    docs = [(1, "s", "en", "one"), (2, "s", "en", "one"), (2, "s", "en", "two words"), (3, "s", "en", "two words")]
+    got = set()
+    for k, order in enumerate((docs, docs[::-1])):
+        path = str(tmp_path / f"{k}")
+        spark.createDataFrame(order, "doc_id long, source string, lang string, text string").coalesce(1).write.parquet(f"{path}/documents.parquet")
+        got.add(tuple(tuple(r) for r in token_counts.op1_token_counts(spark, path).collect()))
+    assert len(got) == 1 and next(iter(got))[0][3] in (2, 3)
