@@ -65,26 +65,59 @@ LABELERS = ["pattern", "structure", "gazetteer", "announced", "other"]
 _LENGTHS = [10, 14, 18, 24]
 _SPAN = "struct<start:int,end:int,text:string>"
 
+# Code points of a block of text, and values of a block of running sums.
+BLOCK = 256
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often lambdas in the body use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column) -> Column:
+    """The sum of each long and all before it.
+
+    A fold that appends to an array copies it at every step, so the steps stay within blocks of
+    ``BLOCK`` values; the blocks' own sums are added in a second, short fold.
+    """
+    none = F.array().cast("array<bigint>")
+
+    def append(state: Column, x: Column, shown: Column) -> Column:
+        at = state["at"] + x
+        return F.struct(at.alias("at"), F.concat(state["out"], F.array(shown)).alias("out"))
+
+    def sums(block: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
+        return F.aggregate(block, start, lambda s, x: append(s, x, s["at"] + x))["out"]
+
+    def joined(blocks: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
+        before = F.aggregate(blocks, start, lambda s, block: append(s, F.element_at(block, -1), s["at"]))["out"]
+        return F.flatten(F.zip_with(blocks, before, lambda block, n: F.transform(block, lambda x: x + n)))
+
+    def blocks(own: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / BLOCK).cast("int"))
+        return F.transform(at, lambda i: sums(F.slice(own, i * BLOCK + 1, F.lit(BLOCK))))
+
+    return let(values, lambda own: F.when(F.size(own) == 0, none).otherwise(let(blocks(own), joined)))
+
 
 def matches(text: Column, pattern: str) -> Column:
     """All leftmost non-overlapping matches with their places in code points.
 
-    The texts between the matches come from splitting by the same pattern; their lengths give the
-    places.
+    The texts between the matches come from splitting by the same pattern; running sums of the
+    lengths give the places.
     """
-    none = F.array().cast(f"array<{_SPAN}>")
-    pairs = F.zip_with(
-        F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(0)), F.split(text, pattern, -1),
-        lambda m, s: F.struct(m.alias("m"), F.length(s).alias("gap"), F.length(m).alias("size")),
-    )
+    def spans(found: Column) -> Column:
+        # the last text between matches has no match after it
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        ends = running(F.zip_with(gaps, found, lambda gap, m: (F.length(gap) + F.length(m)).cast("long")))
+        return F.zip_with(
+            found, ends,
+            lambda m, e: F.struct((e - F.length(m)).cast("int").alias("start"), e.cast("int").alias("end"), m.alias("text")),
+        )
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        span = F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["m"].alias("text"))
-        more = F.struct((start + x["size"]).alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
-        return F.when(x["m"].isNull(), state).otherwise(more)
-
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
+    return let(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(0)), spans)
 
 
 def digits(text: Column) -> Column:
@@ -110,10 +143,18 @@ def valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def _votes(kind: str, text: Column, span: Column, strict: Column) -> Column:
+def _before(blocks: Column, start: Column) -> Column:
+    """The 30 code points before a place, from a text in blocks of ``BLOCK``: a substring of the
+    whole text would walk there from its beginning."""
+    at = F.floor(start / BLOCK).cast("int")
+    last = F.coalesce(F.get(blocks, at - 1), F.lit(""))
+    return F.right(F.concat(last, F.left(F.get(blocks, at), start % BLOCK)), F.lit(30))
+
+
+def _votes(kind: str, blocks: Column, span: Column, strict: Column) -> Column:
     """The labelers' votes on a span: 1 yes, 0 no, -1 no opinion."""
     body = span["text"]
-    before = F.lower(F.substr(text, F.greatest(span["start"] - 29, F.lit(1)), F.least(span["start"], F.lit(30))))
+    before = F.lower(_before(blocks, span["start"]))
     words = "|".join(YES_WORDS[kind].split())
     count = F.length(digits(body))
     yes, no, none = F.lit(1), F.lit(0), F.lit(-1)
@@ -147,27 +188,64 @@ def _is_valid(kind: str):
     return lambda s: valid(kind, s["text"])
 
 
-def _free(span: Column) -> Column:
-    """True where no base span overlaps."""
-    return ~F.exists("taken", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+# Places of spans' ends as longs, four times the code point plus one of these: the order in which
+# ends at one place count.
+_SPAN_END, _TAKEN_END, _SPAN_START, _TAKEN_START = range(4)
+
+
+def free(spans: Column, taken: Column) -> Column:
+    """The spans, in order and without overlap among them, that no taken span overlaps.
+
+    A span overlaps one where more taken spans start before its end than end before its start. Both
+    numbers come from running sums over all sorted ends, so the work does not grow with the product.
+    """
+    def ends(of: Column, start: int, end: int) -> Column:
+        place = lambda name, order: F.transform(of, lambda x: x[name].cast("long") * 4 + order)
+        return F.concat(place("start", start), place("end", end))
+
+    def counted(ordered: Column) -> Column:
+        counts = F.transform(
+            ordered,
+            lambda e: F.when(e % 4 == _TAKEN_START, F.lit(1).cast("long")).when(e % 4 == _TAKEN_END, F.lit(1 << 32)).otherwise(F.lit(0).cast("long")),
+        )
+        return F.zip_with(ordered, running(counts), lambda e, n: F.struct((e % 4).alias("order"), n.alias("n")))
+
+    def kept(own: Column, seen: Column) -> Column:
+        at_start = F.filter(seen, lambda c: c["order"] == _SPAN_START)
+        at_end = F.filter(seen, lambda c: c["order"] == _SPAN_END)
+        overlaps = F.zip_with(at_start, at_end, lambda s, e: F.shiftright(s["n"], 32) < e["n"] % (1 << 32))
+        pairs = F.zip_with(own, overlaps, lambda span, o: F.struct(span.alias("span"), o.alias("o")))
+        return F.transform(F.filter(pairs, lambda p: ~p["o"]), lambda p: p["span"])
+
+    def tested(own: Column) -> Column:
+        ordered = F.array_sort(F.concat(ends(own, _SPAN_START, _SPAN_END), ends(taken, _TAKEN_START, _TAKEN_END)))
+        return let(let(ordered, counted), lambda seen: kept(own, seen))
+
+    return let(spans, lambda own: F.when((F.size(own) == 0) | (F.size(taken) == 0), own).otherwise(tested(own)))
 
 
 def _place(span: Column) -> Column:
     return F.struct(span["start"].alias("start"), span["end"].alias("end"))
 
 
-def _voted(kind: str, base: bool):
+def _voted(kind: str, blocks: Column, base: bool):
     return lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.lit(base).alias("base"),
-        _votes(kind, F.col("text"), s, F.lit(base)).alias("votes"), _length_class(s).alias("size"),
+        _votes(kind, blocks, s, F.lit(base)).alias("votes"), _length_class(s).alias("size"),
     )
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """Each row of ``docs`` as struct ``row``; the base spans of each kind, and of each kind the
-    candidates (start, end, base, votes, length class)."""
+def _all_voted(kind: str):
+    parts = ((f"base_{kind}", True), (f"wide_{kind}", False))
+    return lambda blocks: F.concat(*[F.transform(spans, _voted(kind, blocks, base)) for spans, base in parts])
+
+
+def candidates(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The ``columns`` of each row of ``docs`` (all by default) as struct ``row``; the base spans of
+    each kind, and of each kind the candidates (start, end, base, votes, length class)."""
+    columns = docs.columns if columns is None else columns
     out = docs.select(
-        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
+        F.struct(*[docs[f"`{c}`"] for c in columns]).alias("row"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
     )
     none = F.array().cast(f"array<{_SPAN}>")
     text = F.col("text")
@@ -176,17 +254,17 @@ def candidates(docs: DataFrame) -> DataFrame:
         may = F.col("digit") if kind != "email" else F.lit(True)
         if NEEDS_STRICT[kind]:
             may = may & text.contains(NEEDS_STRICT[kind])
-        out = out.withColumn(f"all_{kind}", F.when(may, matches(text, STRICT[kind])).otherwise(none))
-        out = out.withColumn(f"base_{kind}", F.filter(f"all_{kind}", _is_valid(kind)))
+        out = out.withColumn(f"base_{kind}", F.when(may, F.filter(matches(text, STRICT[kind]), _is_valid(kind))).otherwise(none))
     bases = [f"base_{k}" for k in KINDS]
     out = out.withColumn("taken", F.concat(*bases))
     for kind in KINDS:
         may = F.col("digit") if kind != "email" else text.rlike(NEEDS["email"])
-        wide = F.when(may, matches(text, WIDE[kind])).otherwise(none)
-        out = out.withColumn(f"wide_{kind}", wide)
-        open_ = F.filter(f"wide_{kind}", _free)
-        cands = F.concat(F.transform(f"base_{kind}", _voted(kind, True)), F.transform(open_, _voted(kind, False)))
-        out = out.withColumn(f"cand_{kind}", cands)
+        out = out.withColumn(f"wide_{kind}", F.when(may, free(matches(text, WIDE[kind]), F.col("taken"))).otherwise(none))
+    some = sum((F.size(f"wide_{k}") for k in KINDS), F.size("taken")) > 0
+    cut = F.when(some, F.regexp_extract_all(text, F.lit(f"((?s).{{1,{BLOCK}}})"), F.lit(0)))
+    out = out.withColumn("blocks", cut)
+    for kind in KINDS:
+        out = out.withColumn(f"cand_{kind}", let(F.col("blocks"), _all_voted(kind)))
     places = [F.transform(f"base_{k}", _place).alias(f"base_{k}") for k in KINDS]
     return out.select("row", *places, *[f"cand_{k}" for k in KINDS])
 
@@ -254,10 +332,10 @@ def _added(fixed: Column, votes: Column, sizes: Column):
     return test
 
 
-def find_spans(docs: DataFrame) -> DataFrame:
-    """Each row of ``docs`` as struct ``row``, with base and all spans of each kind as arrays of
-    (start, end), in order."""
-    found = stored(docs.sparkSession, candidates(docs), "candidates")
+def find_spans(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The ``columns`` of each row of ``docs`` (all by default) as struct ``row``, with base and all
+    spans of each kind as arrays of (start, end), in order. Only these columns are written aside."""
+    found = stored(docs.sparkSession, candidates(docs, columns), "candidates")
     model = teach(found)
     votes = F.array(*[F.lit(v) for v in model["votes"]])
     sizes = F.array(*[F.lit(v) for v in model["sizes"]])
@@ -281,7 +359,7 @@ def listed(prefix: str) -> Column:
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = find_spans(docs.select("doc_id", "text"))
+    found = find_spans(docs, ["doc_id"])
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
         *[F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in KINDS],

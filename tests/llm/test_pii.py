@@ -89,3 +89,43 @@ def test_reliabilities_recover_good_and_bad_labelers():
     yes = dict(zip(map(tuple, patterns), posterior > 0.5))
     assert np.mean([yes[tuple(v)] == t for v, t in zip(votes, truth)]) > 0.94
     assert np.allclose(table[:, 1, 1], right, atol=0.06)
+
+
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    rows = [rng.integers(0, 1 << 40, n).tolist() for n in (0, 1, 2, 255, 256, 257, 512, 1000)]
+    frame = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v array<bigint>")
+    got = {r["i"]: r["s"] for r in frame.select("i", pii.running(F.col("v")).alias("s")).collect()}
+    assert all(got[i] == np.cumsum(r).tolist() for i, r in enumerate(rows))
+
+
+def test_free_spans_and_context_equal_the_plain_way(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(60):
+        cuts = sorted(set(rng.integers(0, 80, rng.integers(0, 20)).tolist()))
+        own = [(a, b, "x") for a, b in zip(cuts, cuts[1:]) if rng.random() < 0.6]
+        taken = [(a, a + int(rng.integers(1, 6)), "y") for a in rng.integers(0, 80, rng.integers(0, 8)).tolist()]
+        rows.append((i, own, taken))
+    frame = spark.createDataFrame(rows, f"i int, own array<{pii._SPAN}>, taken array<{pii._SPAN}>")
+    for r in frame.select("*", pii.free(F.col("own"), F.col("taken")).alias("free")).collect():
+        assert r["free"] == [s for s in r["own"] if not any(t["start"] < s["end"] and s["start"] < t["end"] for t in r["taken"])]
+    text = "".join(rng.choice(list("ab\n é日😀"), 1500))
+    blocks = F.regexp_extract_all(F.lit(text), F.lit(f"((?s).{{1,{pii.BLOCK}}})"), F.lit(0))
+    places = spark.range(len(text)).select(F.col("id").cast("int").alias("at"))
+    for r in places.select("at", pii._before(blocks, F.col("at")).alias("b")).collect():
+        assert r["b"] == text[max(0, r["at"] - 30) : r["at"]]
+
+
+def test_a_megabyte_of_numbers_and_of_spans(spark):
+    import time
+
+    texts = ["1, " * 350_000, "call +1 (239) 555-1768 or a@b.de, 192.168.0.1 or 239-555-1768; " * 16_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    begun = time.monotonic()
+    check(sorted(query(frame), key=lambda r: r["row"]["doc_id"]), texts)
+    assert time.monotonic() - begun < 90
