@@ -19,12 +19,15 @@ from curbflow.sinks.index import (
     upsert_index,
 )
 from curbflow.sinks.messages import delimited, to_messages, write_topics
+from curbflow.sinks.upserts import lookup, upsert
 from curbflow.sources.files import read_index
 from curbflow.sources.tables import read_table, trips
 from curbflow.sources.topics import Topics
 from curbflow.streaming import jobs
 
 PARTITIONS = 3
+# Asked for by id; the last one is in no table.
+LOOKUP_IDS = [3, 17, 42, 99, 150, 10**12]
 
 
 def _timed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +108,15 @@ def index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_index(spark, path).select("conv_id", "turn", "role", "text")
 
 
+def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents found by id in an index of two commits, from the buckets of these ids alone."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    path = scratch_path(spark, "documents")
+    upsert(spark, path, docs.withColumn("version", F.lit(1)).withColumn("n_chars", -F.col("n_chars")), "doc_id", ["version"])
+    upsert(spark, path, docs.withColumn("version", F.lit(2)), "doc_id", ["version"])
+    return lookup(spark, path, LOOKUP_IDS).drop("version")
+
+
 def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_topic = counts_by(trips(spark, sf_dir), "topic")
     return by_topic.union(count_indices(
@@ -127,6 +139,7 @@ QUERIES = {
         index_append_reruns,
         upsert_latest,
         index_merge,
+        index_lookup,
         index_counts,
     )
 }
@@ -162,6 +175,8 @@ SELECT CAST(cluster AS INTEGER) AS cluster, lat, lon, {common.SQL_ISO} AS time_s
 SELECT CAST(cluster AS INTEGER) AS cluster, 2 * count(*) AS docs FROM assigned GROUP BY 1""",
     "upsert_latest": _LATEST,
     "index_merge": _LATEST,
+    "index_lookup": f"""SELECT doc_id, lang, source, n_chars FROM documents
+WHERE doc_id IN ({', '.join(map(str, LOOKUP_IDS))})""",
     "index_counts": f"""WITH {common.SQL_TRIPS}
 SELECT topic AS "index", count(*) AS docs FROM trips GROUP BY 1
 UNION ALL SELECT 'documents', count(*) FROM documents

@@ -14,13 +14,15 @@ from curbflow.session import scratch_path
 from curbflow.sinks.archive import stream_archive
 from curbflow.sinks.index import stream_index
 from curbflow.sinks.messages import stream_topics, write_topics
+from curbflow.sinks.upserts import read_upserts, stream_upserts
 from curbflow.sources.files import read_index
-from curbflow.sources.tables import as_trips, stream_table, trips
+from curbflow.sources.tables import as_trips, read_table, stream_table, trips
 from curbflow.sources.topics import Topics, read_topics
 from curbflow.streaming import jobs, live, training
 
 DELAY = "1 hour"
 EVERY = timedelta(days=5)
+ARRIVALS = 5
 
 
 class Run:
@@ -184,6 +186,20 @@ def stream_batch_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _live(spark, sf_dir, "ratios").select(F.col("batch").cast("int"), "cluster", "u_count", "c_count", F.round("ratio", 6).alias("ratio"))
 
 
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations upserted by id while their turns arrive out of order, the stream started anew
+    for each arrival; buckets of more than two folders are folded on the way."""
+    run = Run(spark, "upsert")
+    turns = read_table(spark, sf_dir, "conversations")
+    turns.withColumn("arrival", F.pmod(F.col("turn") * 2 + 1, F.lit(ARRIVALS))).write.partitionBy("arrival").parquet(run.path("turns"))
+    for i in range(ARRIVALS):
+        # a number that no turn has gives an arrival without rows
+        spark.read.parquet(run.path("turns")).filter(F.col("arrival") == i).drop("arrival").write.mode("append").parquet(run.path("arrived"))
+        arrived = spark.readStream.schema(turns.schema).parquet(run.path("arrived"))
+        run.finish(stream_upserts(arrived, run.path("index"), run.path("checkpoint"), "conv_id", ["turn"], 8, None, above=2))
+    return read_upserts(spark, run.path("index")).select("conv_id", "turn", "role", "text")
+
+
 def _trained(run: Run, sf_dir: str) -> list:
     points = jobs.trip_points(run.messages(sf_dir))
     run.finish(training.land_points(points, run.path("landed"), run.path("checkpoint"), "day", None))
@@ -279,6 +295,7 @@ QUERIES = {
         stream_supply_demand,
         stream_live_training,
         stream_batch_ratios,
+        stream_upsert,
         stream_enriched_index,
         stream_event_index,
         stream_filter_republish,
@@ -322,6 +339,7 @@ SELECT topic, CASE WHEN trip_id % 83 = 0 THEN 'json' WHEN lat IS NULL OR lon IS
     "stream_tumbling_counts": f"""WITH {common.SQL_TRIPS}
 SELECT strftime(ts, '%Y-%m-%d') AS window_start, topic, count(*) AS n FROM trips
 WHERE {_CLOSED.format(source='trips')} GROUP BY ALL""",
+    "stream_upsert": publish.ORACLES["upsert_latest"],
     "stream_live_training": clustering.SQL_LIVE_MODELS,
     "stream_batch_ratios": clustering.SQL_BATCH_RATIOS,
     "stream_supply_demand": f"""WITH {common.SQL_ASSIGNED}, counted AS (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,3 +36,11 @@ def start(
     else:
         writer = writer.trigger(processingTime=interval)
     return writer.start(path) if path else writer.start()
+
+
+def start_batches(
+    df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = DEFAULT_INTERVAL
+) -> StreamingQuery:
+    """Starts a stream that hands each micro-batch and its number to ``step``."""
+    writer = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)).start()

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from curbflow.operators.cluster import Centres, assign_clusters, train_batch
 from curbflow.operators.metrics import supply_demand
-from curbflow.sinks.streams import DEFAULT_INTERVAL
+from curbflow.sinks.streams import DEFAULT_INTERVAL, start_batches
 from curbflow.streaming.jobs import USERS
 
 _BATCH = "batch="
@@ -66,5 +66,4 @@ def stream_live_model(
     points: DataFrame, path: str, checkpoint: str, start: Centres, decay: float, interval: str | None = DEFAULT_INTERVAL, unit: str = "batches"
 ) -> StreamingQuery:
     """Starts the stream; ``interval=None`` takes what is available now and stops."""
-    writer = points.writeStream.foreachBatch(batch_step(path, start, decay, unit)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)).start()
+    return start_batches(points, batch_step(path, start, decay, unit), checkpoint, interval)
