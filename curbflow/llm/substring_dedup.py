@@ -14,7 +14,11 @@ smaller id. Equal strings must meet in one shard, without all suffixes travellin
   ``LENGTH`` bytes are the groups of equal strings; each group's smallest id keeps its string.
 
 Hot texts are aggregated before the shuffle: of equal rows within a block, only those of the
-smallest id go on, since the others have a smaller document already.
+smallest id go on, since the others have a smaller document already. A hot anchor, one that a
+passage of many documents brings along, would still gather a different text from each of them at
+the passage's edges. Anchors that more than one in ``HOT_SHARE`` documents of a bounded sample hold
+are hot; their runs are cut into single strings, which are dealt by the hash of the whole string.
+The sample decides where strings meet, never what is removed.
 
 Defined results: a null text is empty. A null id counts as larger than all others. Rows with the
 same id are one document, as far as who keeps a string goes: none of them loses to another.
@@ -39,6 +43,10 @@ from curbflow.llm.suffixes import induced, permuted_lcp
 LENGTH, GRAM = 50, 16
 BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 2 << 20
+# A sample of about so many documents finds the hot anchors: at most HOT_SHARE times the anchors of a
+# mean document, which is what the driver receives.
+SAMPLE_ROWS = 8192
+HOT_SHARE, HOT_ROWS = 256, 8
 NO_ID = np.iinfo(np.int64).max  # stands for a null id
 
 # Packed rows. An anchor, with the run of strings that it stands for: the lower half of the gram's
@@ -98,8 +106,61 @@ def _chunks(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, int, i
             yield first, last, begin, min(high, begin + step + length - 1)
 
 
-def _map(parts: int, length: int):
-    """Anchors of all documents by part; and spans that a document of the same block already decides."""
+def _sampled(length: int):
+    """(hash, documents) of the anchors in each block of a sample."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = tb.utf8(batch.column(0))
+            for first, last, begin, end in _chunks(offsets, length):
+                found, upper = anchors(data[begin:end], np.clip(offsets[first : last + 1], begin, end) - begin, length)
+                full = (upper << np.uint64(32)) | found["hash"]
+                order = np.lexsort((found["doc"], full))
+                full, doc = full[order], found["doc"][order]
+                once = np.append(True, (full[1:] != full[:-1]) | (doc[1:] != doc[:-1]))[: len(full)]
+                hashes, docs = np.unique(full[once], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(docs)], names=["hash", "docs"])
+
+    return task
+
+
+def hot_anchors(docs: DataFrame, length: int = LENGTH) -> np.ndarray:
+    """The hashes of anchors that many documents hold, ascending."""
+    n = docs.count()
+    step = max(1, n // SAMPLE_ROWS)
+    sample = docs.where(F.pmod(F.xxhash64("id", "key"), F.lit(step)) == 0).select("text")
+    counted = sample.mapInArrow(_sampled(length), "hash long, docs long").groupBy("hash").agg(F.sum("docs").alias("docs"))
+    least = max(HOT_ROWS, n // step // HOT_SHARE)
+    hashes = [r["hash"] for r in counted.where(F.col("docs") > least).select("hash").collect()]
+    return np.sort(np.array(hashes, np.int64).view(np.uint64))
+
+
+def _cut(rows: np.ndarray, first: np.ndarray, sums: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The strings of rows, each as a row of its own keyed by the whole string; and the upper halves
+    of the strings' hashes. ``first`` are the rows' first bytes in the block."""
+    count = rows["count"].astype(np.int64)
+    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    start = np.repeat(first, count) + inner
+    text = tb.span_hash(sums, start, start + length)
+    out = np.repeat(rows, count)
+    # together with the text's fingerprint this still tells the anchor
+    out["hash"] ^= (text & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    out["text"], out["at"], out["count"] = text, out["at"] + inner.astype(np.uint32), 1
+    out["left"] = out["right"] = (text >> np.uint64(32)) & np.uint64(255)
+    return out, text >> np.uint64(32)
+
+
+def _map(parts: int, length: int, hot: np.ndarray):
+    """Anchors of all documents by part, hot ones string by string; and spans that a document of the
+    same block already decides."""
+
+    def settled(found: np.ndarray, upper: np.ndarray, first: np.ndarray, docs: np.ndarray, rows: list) -> tuple:
+        order = np.lexsort((docs["id"][found["doc"]], found["text"], found["hash"]))
+        found, upper, first = found[order], upper[order], first[order]
+        later = _later(found, docs["id"][found["doc"]])
+        if later.any():
+            rows.append((-1, *_packed(docs, _spans(found[later], length))))
+        return found[~later], upper[~later], first[~later]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,18 +173,20 @@ def _map(parts: int, length: int):
                 if not len(found):
                     continue
                 own, number = np.unique(found["doc"], return_inverse=True)
+                start = inner[found["doc"]] + found["at"]
                 if end - begin > BLOCK_BYTES:  # a part of one long document
                     found["at"] += np.uint32(begin - offsets[first])
                 found["doc"] = number
                 docs = np.zeros(len(own), _DOC)
                 docs["id"], docs["key"] = ids[first + own], keys[first + own]
                 rows = []
-                order = np.lexsort((docs["id"][number], found["text"], found["hash"]))
-                found, upper = found[order], upper[order]
-                later = _later(found, docs["id"][found["doc"]])
-                if later.any():
-                    rows.append((-1, *_packed(docs, _spans(found[later], length))))
-                found, upper = found[~later], upper[~later]
+                found, upper, start = settled(found, upper, start, docs, rows)
+                full = (upper << np.uint64(32)) | found["hash"]
+                common = np.isin(full, hot)
+                if common.any():
+                    strings, high = _cut(found[common], start[common], tb.prefix_sums(data[begin:end]), length)
+                    strings, high, _ = settled(strings, high, high, docs, rows)
+                    found, upper = np.concatenate([found[~common], strings]), np.concatenate([upper[~common], high])
                 part = (upper % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 found, part = found[order], part[order]
@@ -298,7 +361,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(id, key, starts, ends): spans to remove, several rows for a document; NO_ID for a null id."""
     spark = docs.sparkSession
     parts = max(8, docs.select("text").rdd.getNumPartitions())
-    dealt = docs.select("id", "key", "text").mapInArrow(_map(parts, length), "part int, decided boolean, docs binary, body binary")
+    dealt = docs.select("id", "key", "text").mapInArrow(_map(parts, length, hot_anchors(docs, length)), "part int, decided boolean, docs binary, body binary")
     found = stored(
         spark,
         dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_reduce(length), _SPANS_SCHEMA),

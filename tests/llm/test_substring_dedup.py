@@ -40,9 +40,10 @@ def test_query_on_whole_tables(spark, sf_dir):
     assert sum(r[2] for r in want) > 0
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_overlapping_pieces(spark, seed):
+@pytest.mark.parametrize("seed, hot_rows", [(0, 8), (1, 8), (2, 1), (3, 4)])
+def test_overlapping_pieces(spark, monkeypatch, seed, hot_rows):
     """Texts cut from a small pool of pieces at any byte, so that runs end everywhere."""
+    monkeypatch.setattr(substring_dedup, "HOT_ROWS", hot_rows)
     rng = np.random.default_rng(seed)
     pool = "".join(rng.choice(list("ab é日"), 700))
     docs = []
@@ -53,6 +54,33 @@ def test_overlapping_pieces(spark, seed):
     assert rows(substring_dedup.deduplicate(frame)) == brute(docs)
 
 
+def test_a_hot_passage_is_dealt_string_by_string(spark):
+    """A passage in a third of all documents, each time between other words."""
+    rng = np.random.default_rng(9)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    passage = "".join(rng.choice(letters, 200))
+    docs = []
+    for i in range(900):
+        left, right = ("".join(rng.choice(letters, 60)) for _ in range(2))
+        docs.append((i, left + passage + right if i % 3 == 0 else left + right))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    assert rows(substring_dedup.deduplicate(frame)) == brute(docs)
+    keyed = frame.selectExpr("doc_id AS id", "hash(text) AS key", "text")
+    hot = substring_dedup.hot_anchors(keyed)
+    assert 5 < len(hot) < 40
+    largest = []
+    for given in (np.zeros(0, np.uint64), hot):
+        dealt = keyed.mapInArrow(substring_dedup._map(16, 50, given), "part int, decided boolean, docs binary, body binary")
+        of_part = dealt.where("NOT decided").groupBy("part").agg({"body": "count"}).count()
+        assert of_part == 16
+        groups = {}
+        for r in dealt.where("NOT decided").select("part", "body").collect():
+            for h in np.frombuffer(r["body"], substring_dedup._ANCHOR)["hash"]:
+                groups[r["part"], h] = groups.get((r["part"], h), 0) + 1
+        largest.append(max(groups.values()))
+    assert largest[0] > 250 and largest[1] <= 120, largest
+
+
 def test_edge_cases(spark):
     line = "".join(f"{i:03d}é" for i in range(40))
     docs = [
