@@ -42,7 +42,7 @@ from curbflow.llm.suffixes import induced, permuted_lcp
 
 LENGTH, GRAM = 50, 16
 BLOCK_BYTES = 2 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19  # the arrays of a shard should stay within a core's caches
 # A sample of about so many documents finds the hot anchors: at most HOT_SHARE times the anchors of a
 # mean document, which is what the driver receives.
 SAMPLE_ROWS = 8192
@@ -315,7 +315,7 @@ def repeated_starts(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -
     ends = np.cumsum(sizes)
     seq[ends - 1] = 0  # separators
     array = induced(seq)
-    common = permuted_lcp(seq, array, length)[array] >= length
+    common = permuted_lcp(seq.astype(np.uint16), array, length)[array] >= length
     owner = np.repeat(np.arange(len(texts)), sizes)
     left = (ends[owner] - 1) - np.arange(len(seq))  # bytes from here to the text's end
     group = np.cumsum(~common) - 1

@@ -165,9 +165,13 @@ def permuted_lcp(seq: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     before[sa[1:]] = sa[:-1]
     lengths = np.zeros(n, np.int64)
     todo = np.flatnonzero(before >= 0)
+    other = before[todo]
     for k in range(most):
-        todo = todo[(todo + k < n) & (before[todo] + k < n)]
-        todo = todo[seq[todo + k] == seq[before[todo] + k]]
+        inside = np.maximum(todo, other) + k < n
+        if not inside.all():
+            todo, other = todo[inside], other[inside]
+        same = np.flatnonzero(seq[todo + k] == seq[other + k])
+        todo, other = todo[same], other[same]
         if not len(todo):
             break
         lengths[todo] = k + 1
