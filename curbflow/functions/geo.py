@@ -103,7 +103,7 @@ def within_distance(
     return near & (haversine_m(lat, lon, centre) <= metres)
 
 
-def _axis_bits(precision: int) -> tuple[int, int]:
+def axis_bits(precision: int) -> tuple[int, int]:
     """(latitude bits, longitude bits) of a geohash; longitude takes the first bit."""
     if not 1 <= precision <= 12:
         raise ValueError("geohash precision must be 1 to 12")
@@ -112,7 +112,7 @@ def _axis_bits(precision: int) -> tuple[int, int]:
 
 
 def _cell_sql(lat: str, lon: str, precision: int) -> tuple[str, str]:
-    lat_bits, lon_bits = _axis_bits(precision)
+    lat_bits, lon_bits = axis_bits(precision)
     rows, columns = 1 << lat_bits, 1 << lon_bits
     # at most 30 bits each, so plain integers hold them
     row = f"least(CAST(floor(({lat} + 90) / 180 * {rows}.0D) AS INT), {rows - 1})"
@@ -144,7 +144,7 @@ def _letters() -> str:
 
 def _text_sql(row: str, column: str, precision: int) -> str:
     """Each letter takes three bits from one axis and two from the other, in turns."""
-    row_left, column_left = _axis_bits(precision)
+    row_left, column_left = axis_bits(precision)
     letters = _letters()
     parts = []
     for place in range(precision):
@@ -238,5 +238,5 @@ def parse_geo_point(text: Column | str) -> Column:
 def precision_for_zoom(zoom: int, finest: int = 7, least_pixels: int = 16) -> int:
     """The finest grid whose cells are at least ``least_pixels`` wide at a map zoom level."""
     world_pixels = 256 * 2**zoom
-    fitting = [p for p in range(1, finest + 1) if world_pixels / 2 ** _axis_bits(p)[1] >= least_pixels]
+    fitting = [p for p in range(1, finest + 1) if world_pixels / 2 ** axis_bits(p)[1] >= least_pixels]
     return max(fitting, default=1)

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from curbflow.functions.geo import BOX_C, precision_for_zoom
 from curbflow.operators import metrics as m
+from curbflow.operators import tiles
 from curbflow.operators.clean import in_box, last_days, to_points
 from curbflow.operators.cluster import assign_clusters
 from curbflow.plans import common
 from curbflow.plans.spatial import sql_geohash
+from curbflow.session import scratch_path
+from curbflow.sinks.tiles import add_rows, read_tiles
 from curbflow.sources.tables import trips
 
 # The zoom level at which the map panels open.
@@ -110,6 +113,20 @@ def grid_avg_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.geohash_grid(placed, [F.round(F.avg("ratio"), 6).alias("avg_ratio")], PRECISION)
 
 
+def tile_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and mean distance per map cell at precisions 1 to 7, from a stored pyramid: all
+    points come in, cars at their pickup; then those are taken away and come in at their dropoff."""
+    path = scratch_path(spark, "tiles")
+    every = to_points(trips(spark, sf_dir)).select("trip_id", "topic", "lat", "lon", "trip_distance")
+    pickups = trips(spark, sf_dir).select("trip_id", "topic", F.col("pickup_latitude").alias("lat"), F.col("pickup_longitude").alias("lon"), "trip_distance")
+    cars = F.col("topic") == "cars"
+    add_rows(spark, path, pickups, ["trip_distance"], batch=("load", 0))
+    moved = pickups.filter(cars).withColumn("sign", F.lit(-1)).unionByName(every.filter(cars).withColumn("sign", F.lit(1)))
+    add_rows(spark, path, moved, ["trip_distance"], sign=F.col("sign"), batch=("load", 1))
+    cells = tiles.with_geohash(read_tiles(spark, path))
+    return cells.select("precision", "geohash", "n", F.round("avg_trip_distance", 6).alias("avg_distance"))
+
+
 def cluster_value_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.value_frequency(common.assigned(spark, sf_dir), "trip_distance")
 
@@ -129,6 +146,7 @@ QUERIES = {
         grid_count,
         grid_avg_ratio,
         cluster_value_freq,
+        tile_pyramid,
     )
 }
 
@@ -153,8 +171,13 @@ SELECT CAST(c.cluster AS INTEGER) AS cluster, u_count, c_count,
   round(CAST(u_count AS DOUBLE) / c_count, 6) AS ratio, clat AS lat, clon AS lon
 FROM counted c JOIN centres USING (cluster) WHERE u_count > 0 AND c_count > 0"""
 
+_LEVELS = " UNION ALL ".join(
+    f"SELECT {p} AS precision, {sql_geohash('lat', 'lon', p)} AS geohash, trip_distance FROM points" for p in range(1, 8)
+)
 
 ORACLES = {
+    "tile_pyramid": f"""WITH {common.SQL_POINTS}, levels AS ({_LEVELS})
+SELECT precision, geohash, count(*) AS n, round(avg(trip_distance), 6) AS avg_distance FROM levels GROUP BY ALL""",
     "assigned_points": f"""WITH {common.SQL_ASSIGNED}
 SELECT trip_id, topic, lat, lon, CAST(cluster AS INTEGER) AS cluster FROM assigned""",
     "supply_demand_ratio": _sql_ratio("TRUE"),

@@ -11,6 +11,8 @@ from curbflow.operators import search as s
 from curbflow.plans import common
 from curbflow.plans.spatial import CENTRE, RADIUS_M, sql_haversine
 from curbflow.functions.geo import within_distance
+from curbflow.session import scratch_path
+from curbflow.sinks.text_index import index_texts, search_texts
 from curbflow.sources.tables import read_table, register_views, trips
 
 TEXT_QUERY = "ALL about The search"
@@ -99,9 +101,31 @@ def get_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", "source", "n_chars")
 
 
+def _indexed(spark: SparkSession, sf_dir: str) -> str:
+    """An index of all documents, half of them first with another text that was replaced since."""
+    path, docs = scratch_path(spark, "text-index"), _docs(spark, sf_dir).withColumn("version", F.lit(2))
+    outdated = F.when(F.col("doc_id") % 2 == 0, F.concat_ws(" ", F.lit("Search and"), F.reverse("text"))).otherwise(F.col("text"))
+    index_texts(spark, path, docs.withColumn("text", outdated).withColumn("version", F.lit(1)), "doc_id", ["version"], buckets=16, batch=("load", 0))
+    index_texts(spark, path, docs, "doc_id", ["version"], buckets=16, batch=("load", 1))
+    return path
+
+
+def indexed_text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text match on a stored index, from its tokens alone."""
+    return search_texts(spark, _indexed(spark, sf_dir), [TEXT_QUERY], fields=["doc_id"])
+
+
+def indexed_bool_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two text matches, an exact term and a range on a stored index."""
+    filters = p.bool_query(filters=[p.term("lang", "en"), p.value_range("n_chars", gte=500)])
+    return search_texts(spark, _indexed(spark, sf_dir), ["the", "search and"], filters, ["doc_id", "lang", "n_chars"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        indexed_text_match,
+        indexed_bool_query,
         text_match,
         template_match,
         bool_query,
@@ -142,3 +166,5 @@ WHERE {sql_haversine('pickup_latitude', 'pickup_longitude')} <= {RADIUS_M!r} ORD
     "get_by_ids": """SELECT doc_id, lang, source, n_chars FROM documents
 WHERE doc_id IN (SELECT doc_id FROM labels)""",
 }
+ORACLES["indexed_text_match"] = ORACLES["text_match"]
+ORACLES["indexed_bool_query"] = ORACLES["bool_query"]

@@ -11,9 +11,10 @@ from curbflow.functions.text import arrival_text
 from curbflow.operators.metrics import tumbling_counts
 from curbflow.plans import clustering, common, publish, spatial
 from curbflow.session import scratch_path
-from curbflow.sinks.archive import stream_archive
+from curbflow.sinks.archive import read_archive, stream_archive, stream_folded_archive
 from curbflow.sinks.index import stream_index
 from curbflow.sinks.messages import stream_topics, write_topics
+from curbflow.sinks.numbering import read_numbered, stream_numbered
 from curbflow.sinks.upserts import read_upserts, stream_upserts
 from curbflow.sources.files import read_index
 from curbflow.sources.tables import as_trips, read_table, stream_table, trips
@@ -200,6 +201,31 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_upserts(spark, run.path("index")).select("conv_id", "turn", "role", "text")
 
 
+def stream_document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of documents that go on over arrivals, the stream started anew for each."""
+    run = Run(spark, "numbers")
+    events = read_table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("event_id") % 3).alias("arrival"))
+    events.write.partitionBy("arrival").parquet(run.path("events"))
+    schema = events.drop("arrival").schema
+    for i in range(3):
+        spark.read.schema(schema).parquet(f"{run.path('events')}/arrival={i}").write.mode("append").parquet(run.path("arrived"))
+        arrived = spark.readStream.schema(schema).parquet(run.path("arrived"))
+        run.finish(stream_numbered(arrived, run.path("numbered"), run.path("checkpoint"), ["event_id"], interval=None))
+    return read_numbered(spark, run.path("numbered")).select("doc_id", "event_id", "event_type")
+
+
+def stream_folded_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The point archive of many micro-batches, whose small folders are joined on the way."""
+    run = Run(spark, "folded")
+    pickups = trips(spark, sf_dir).select("pickup_latitude", "pickup_longitude")
+    pickups.repartition(8).write.parquet(run.path("arrived"))
+    arrived = spark.readStream.schema(pickups.schema).option("maxFilesPerTrigger", 1).parquet(run.path("arrived"))
+    places = ("pickup_latitude", "pickup_longitude")
+    run.finish(stream_folded_archive(arrived, run.path("points"), run.path("checkpoint"), *places, above=3, interval=None))
+    lines = read_archive(spark, run.path("points"))
+    return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 def _trained(run: Run, sf_dir: str) -> list:
     points = jobs.trip_points(run.messages(sf_dir))
     run.finish(training.land_points(points, run.path("landed"), run.path("checkpoint"), "day", None))
@@ -296,6 +322,8 @@ QUERIES = {
         stream_live_training,
         stream_batch_ratios,
         stream_upsert,
+        stream_document_ids,
+        stream_folded_points,
         stream_enriched_index,
         stream_event_index,
         stream_filter_republish,
@@ -339,6 +367,8 @@ SELECT topic, CASE WHEN trip_id % 83 = 0 THEN 'json' WHEN lat IS NULL OR lon IS
     "stream_tumbling_counts": f"""WITH {common.SQL_TRIPS}
 SELECT strftime(ts, '%Y-%m-%d') AS window_start, topic, count(*) AS n FROM trips
 WHERE {_CLOSED.format(source='trips')} GROUP BY ALL""",
+    "stream_document_ids": """SELECT row_number() OVER (ORDER BY event_id % 3, event_id) AS doc_id, event_id, event_type
+FROM events""",
     "stream_upsert": publish.ORACLES["upsert_latest"],
     "stream_live_training": clustering.SQL_LIVE_MODELS,
     "stream_batch_ratios": clustering.SQL_BATCH_RATIOS,
@@ -370,3 +400,4 @@ SELECT {clustering._sql_batch('c.b')} AS batch, CAST(c.cluster AS INTEGER) AS cl
 FROM counted c JOIN closed m ON c.b = m.b AND c.cluster = m.cluster WHERE u_count > 0 AND c_count > 0""",
 }
 ORACLES["trained_cluster_documents"] = ORACLES["stream_trained_documents"]
+ORACLES["stream_folded_points"] = ORACLES["stream_point_archive"]

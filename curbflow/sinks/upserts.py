@@ -18,93 +18,23 @@ by their other columns; an empty batch commits nothing.
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from curbflow.sinks.index import bucket_of, latest_by_id
+from curbflow.sinks.manifests import commit, hadoop, manifest, manifest_path, names, versions
 from curbflow.sinks.streams import DEFAULT_INTERVAL, start_batches
 
 _BUCKET = "_bucket"
-_ATTEMPTS = 20
 
 
-def _hadoop(spark: SparkSession, path: str) -> tuple:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    place, files = _hadoop(spark, path)
-    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """The numbers of all manifests, ascending."""
-    return [int(n.removesuffix(".json")) for n in _names(spark, f"{path}/_manifests") if n.endswith(".json")]
-
-
-def _manifest_path(path: str, version: int) -> str:
-    return f"{path}/_manifests/{version:012d}.json"
-
-
-def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
-    """The manifest of a version, by default the newest; None where nothing was committed."""
-    if version is None:
-        known = versions(spark, path)
-        if not known:
-            return None
-        version = known[-1]
-    place, files = _hadoop(spark, _manifest_path(path, version))
-    stream = files.open(place)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")) | {"version": version}
-    finally:
-        stream.close()
-
-
-def _publish(spark: SparkSession, path: str, state: dict, version: int) -> bool:
-    """Writes a manifest under its number; False where another writer has taken that number."""
-    aside, files = _hadoop(spark, f"{path}/_manifests/.{uuid.uuid4().hex}")
-    out = files.create(aside, False)
-    out.write(bytearray(json.dumps({k: v for k, v in state.items() if k != "version"}).encode()))
-    out.close()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    context = hadoop.FileContext.getFileContext(files.makeQualified(aside).toUri(), spark._jsc.hadoopConfiguration())
-    no_options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
-    try:
-        context.rename(files.makeQualified(aside), files.makeQualified(hadoop.Path(_manifest_path(path, version))), no_options)
-        return True
-    except Py4JJavaError as error:
-        files.delete(aside, False)
-        if "FileAlreadyExists" in error.java_exception.getClass().getName():
-            return False
-        raise
-
-
-def _commit(spark: SparkSession, path: str, change: Callable[[dict | None], dict | None]) -> bool:
-    """Publishes what ``change`` makes of the newest manifest, anew where another writer was first.
-
-    False where ``change`` gives None: there is nothing left to do.
-    """
-    for _ in range(_ATTEMPTS):
-        now = manifest(spark, path)
-        then = change(now)
-        if then is None:
-            return False
-        if _publish(spark, path, then, now["version"] + 1 if now else 0):
-            return True
-    raise RuntimeError(f"other writers were first {_ATTEMPTS} times at {path}")
-
-
-def _write(spark: SparkSession, path: str, latest: DataFrame, id: str, buckets: int) -> dict[str, str]:
+def write_buckets(spark: SparkSession, path: str, latest: DataFrame, id: str, buckets: int) -> dict[str, str]:
     """Writes documents into a new folder; its name for each bucket that holds any."""
     folder = f"part-{uuid.uuid4().hex}"
     bucketed = latest.withColumn(_BUCKET, bucket_of(id, buckets)).hint("rebalance", F.col(_BUCKET))
@@ -115,7 +45,7 @@ def _write(spark: SparkSession, path: str, latest: DataFrame, id: str, buckets:
         .parquet(f"{path}/{folder}")
     )
     prefix = f"{_BUCKET}="
-    return {n.removeprefix(prefix): folder for n in _names(spark, f"{path}/{folder}") if n.startswith(prefix)}
+    return {n.removeprefix(prefix): folder for n in names(spark, f"{path}/{folder}") if n.startswith(prefix)}
 
 
 def _check(state: dict, path: str, id: str, order: list[str], buckets: int, schema: T.StructType) -> None:
@@ -145,7 +75,7 @@ def upsert(
     if known(manifest(spark, path)):
         return False
     schema = updates.schema
-    written = _write(spark, path, latest_by_id(updates, id, order), id, buckets)
+    written = write_buckets(spark, path, latest_by_id(updates, id, order), id, buckets)
     if not written:
         return False
 
@@ -159,15 +89,19 @@ def upsert(
         streams = state["streams"] | ({batch[0]: batch[1]} if batch else {})
         return state | {"folders": folders, "streams": streams}
 
-    return _commit(spark, path, change)
+    return commit(spark, path, change)
 
 
-def _files(spark: SparkSession, path: str, state: dict, folders: dict[str, list[str]]) -> DataFrame:
-    schema = T.StructType.fromJson(state["schema"])
+def read_folders(spark: SparkSession, path: str, schema: T.StructType, folders: dict[str, list[str]]) -> DataFrame:
+    """The rows of some buckets, each with the folders that hold it."""
     paths = [f"{path}/{f}/{_BUCKET}={bucket}" for bucket, own in folders.items() for f in own]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
+def _files(spark: SparkSession, path: str, state: dict, folders: dict[str, list[str]]) -> DataFrame:
+    return read_folders(spark, path, T.StructType.fromJson(state["schema"]), folders)
+
+
 def read_upserts(spark: SparkSession, path: str, buckets: list[int] | None = None, version: int | None = None) -> DataFrame:
     """The documents of all or some buckets, by the newest manifest or an earlier one.
 
@@ -215,7 +149,7 @@ def compact(spark: SparkSession, path: str, above: int = 1) -> int:
     if not many:
         return 0
     merged = latest_by_id(_files(spark, path, state, many), state["id"], state["order"])
-    written = _write(spark, path, merged, state["id"], state["buckets"])
+    written = write_buckets(spark, path, merged, state["id"], state["buckets"])
 
     def change(now: dict) -> dict | None:
         if any(f not in now["folders"][b] for b, own in many.items() for f in own):
@@ -223,7 +157,7 @@ def compact(spark: SparkSession, path: str, above: int = 1) -> int:
         folded = {b: [written[b]] + [f for f in now["folders"][b] if f not in own] for b, own in many.items()}
         return now | {"folders": now["folders"] | folded}
 
-    return len(many) if _commit(spark, path, change) else 0
+    return len(many) if commit(spark, path, change) else 0
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 10, older_than: float = 86400.0) -> int:
@@ -233,9 +167,9 @@ def vacuum(spark: SparkSession, path: str, keep: int = 10, older_than: float = 8
     known = versions(spark, path)
     live = {f for v in known[-keep:] for own in manifest(spark, path, v)["folders"].values() for f in own}
     for v in known[:-keep]:
-        place, files = _hadoop(spark, _manifest_path(path, v))
+        place, files = hadoop(spark, manifest_path(path, v))
         files.delete(place, False)
-    place, files = _hadoop(spark, path)
+    place, files = hadoop(spark, path)
     before, gone = (time.time() - older_than) * 1000, 0
     for status in files.listStatus(place) if files.exists(place) else []:
         name = status.getPath().getName()

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from curbflow.sinks import upserts
+from curbflow.sinks import manifests, upserts
 
 SCHEMA = "id long, at int, text string"
 
@@ -66,16 +66,16 @@ def test_a_failure_before_the_manifest_leaves_nothing_visible(spark, tmp_path, m
     frame(spark, [(1, 1, "a"), (2, 1, "b")]).write.parquet(arrived)
     run()
     frame(spark, [(2, 2, "c"), (3, 1, "d")]).write.mode("append").parquet(arrived)
-    publish = upserts._publish
+    publish = manifests.publish
 
     def lost(*_):
         raise OSError("the driver is gone")
 
-    monkeypatch.setattr(upserts, "_publish", lost)
+    monkeypatch.setattr(manifests, "publish", lost)
     with pytest.raises(Exception, match="the driver is gone"):
         run()
     assert held(spark, path) == {1: (1, 1, "a"), 2: (2, 1, "b")}
-    monkeypatch.setattr(upserts, "_publish", publish)
+    monkeypatch.setattr(manifests, "publish", publish)
     # the batch runs again, and once more after it was committed
     run()
     run()
@@ -86,7 +86,7 @@ def test_a_failure_before_the_manifest_leaves_nothing_visible(spark, tmp_path, m
 
 
 def test_two_writers_at_once_lose_nothing(spark, tmp_path, monkeypatch):
-    path, publish, first = str(tmp_path / "ix"), upserts._publish, []
+    path, publish, first = str(tmp_path / "ix"), manifests.publish, []
     upserts.upsert(spark, path, frame(spark, [(1, 1, "a"), (2, 1, "b")]), "id", ["at"], 1)
     upserts.upsert(spark, path, frame(spark, [(2, 5, "c")]), "id", ["at"], 1)
 
@@ -97,7 +97,7 @@ def test_two_writers_at_once_lose_nothing(spark, tmp_path, monkeypatch):
             upserts.upsert(spark, path, frame(spark, [(3, 1, "d"), (1, 0, "old")]), "id", ["at"], 1)
         return publish(spark, path, state, version)
 
-    monkeypatch.setattr(upserts, "_publish", late)
+    monkeypatch.setattr(manifests, "publish", late)
     assert upserts.compact(spark, path) == 1
     assert held(spark, path) == {1: (1, 1, "a"), 2: (2, 5, "c"), 3: (3, 1, "d")}
     assert len(upserts.manifest(spark, path)["folders"]["0"]) == 2
