@@ -7,8 +7,6 @@ different rows add up, and rows that went away count with sign -1.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,12 +58,17 @@ def held(cells: DataFrame) -> DataFrame:
 
 
 def with_geohash(cells: DataFrame) -> DataFrame:
-    """``precision, geohash, n`` and the mean of each value, null where no row has one."""
-    precisions = range(1, 13)
-    text = reduce(lambda made, p: made.when(F.col("precision") == p, geohash_text("row", "column", p)), precisions, F)
+    """``precision, geohash, n`` and the sum and mean of each value, null where no row has one."""
+    # a cell's first descendant among the finest cells has the cell's letters first
+    down = cells.withColumn("_row", F.expr("shiftleft(row, CAST(30 - 5 * precision div 2 AS INT))")).withColumn(
+        "_column", F.expr("shiftleft(column, CAST(30 - (5 * precision - 5 * precision div 2) AS INT))")
+    )
+    text = F.substr(geohash_text("_row", "_column", 12), F.lit(1), F.col("precision"))
     named = [c.removesuffix("_sum") for c in cells.columns if c.endswith("_sum")]
-    means = [F.when(F.col(_count(v)) != 0, F.col(_total(v)) / F.col(_count(v))).alias(f"avg_{v}") for v in named]
-    return cells.select("precision", text.alias("geohash"), "n", *means)
+    some = {v: F.col(_count(v)) != 0 for v in named}
+    sums = [F.when(some[v], F.col(_total(v))).alias(f"sum_{v}") for v in named]
+    means = [F.when(some[v], F.col(_total(v)) / F.col(_count(v))).alias(f"avg_{v}") for v in named]
+    return down.select("precision", text.alias("geohash"), "n", *sums, *means)
 
 
 def at_zoom(cells: DataFrame, zoom: int, finest: int = 7) -> DataFrame:

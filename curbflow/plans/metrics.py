@@ -114,7 +114,7 @@ def grid_avg_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tile_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and mean distance per map cell at precisions 1 to 7, from a stored pyramid: all
+    """Documents and their distance per map cell at precisions 1 to 7, from a stored pyramid: all
     points come in, cars at their pickup; then those are taken away and come in at their dropoff."""
     path = scratch_path(spark, "tiles")
     every = to_points(trips(spark, sf_dir)).select("trip_id", "topic", "lat", "lon", "trip_distance")
@@ -124,7 +124,7 @@ def tile_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = pickups.filter(cars).withColumn("sign", F.lit(-1)).unionByName(every.filter(cars).withColumn("sign", F.lit(1)))
     add_rows(spark, path, moved, ["trip_distance"], sign=F.col("sign"), batch=("load", 1))
     cells = tiles.with_geohash(read_tiles(spark, path))
-    return cells.select("precision", "geohash", "n", F.round("avg_trip_distance", 6).alias("avg_distance"))
+    return cells.select("precision", "geohash", "n", F.round("sum_trip_distance", 4).alias("distance"))
 
 
 def cluster_value_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +177,7 @@ _LEVELS = " UNION ALL ".join(
 
 ORACLES = {
     "tile_pyramid": f"""WITH {common.SQL_POINTS}, levels AS ({_LEVELS})
-SELECT precision, geohash, count(*) AS n, round(avg(trip_distance), 6) AS avg_distance FROM levels GROUP BY ALL""",
+SELECT precision, geohash, count(*) AS n, round(sum(trip_distance), 4) AS distance FROM levels GROUP BY ALL""",
     "assigned_points": f"""WITH {common.SQL_ASSIGNED}
 SELECT trip_id, topic, lat, lon, CAST(cluster AS INTEGER) AS cluster FROM assigned""",
     "supply_demand_ratio": _sql_ratio("TRUE"),
