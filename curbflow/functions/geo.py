@@ -81,6 +81,19 @@ def haversine_m(lat: Column | str, lon: Column | str, centre: tuple[float, float
     return F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h))) * F.lit(2 * EARTH_RADIUS_M)
 
 
+def circle_box(centre: tuple[float, float], metres: float) -> tuple[float, float, tuple[float, float] | None]:
+    """South, north and (west, east) of a box around a circle; no sides where it holds a pole or
+    crosses the date line."""
+    # a hair wider than the circle, so that rounding never drops a point on its edge
+    angle = metres / EARTH_RADIUS_M * (1 + 1e-9) + 1e-12
+    south, north = centre[0] - math.degrees(angle), centre[0] + math.degrees(angle)
+    if south <= -90 or north >= 90:
+        return south, north, None
+    reach = math.degrees(math.asin(min(1.0, math.sin(angle) / math.cos(math.radians(centre[0])))))
+    west, east = centre[1] - reach, centre[1] + reach
+    return south, north, (west, east) if west >= -180 and east <= 180 else None
+
+
 def within_distance(
     lat: Column | str, lon: Column | str, centre: tuple[float, float], metres: float
 ) -> Column:
@@ -90,16 +103,10 @@ def within_distance(
     coordinates are stored columns, and it can only drop points beyond the radius.
     """
     lat, lon = _col(lat), _col(lon)
-    # a hair wider than the circle, so that rounding never drops a point on its edge
-    angle = metres / EARTH_RADIUS_M * (1 + 1e-9) + 1e-12
-    south = centre[0] - math.degrees(angle)
-    north = centre[0] + math.degrees(angle)
+    south, north, sides = circle_box(centre, metres)
     near = lat.between(south, north)
-    if south > -90 and north < 90:
-        reach = math.degrees(math.asin(min(1.0, math.sin(angle) / math.cos(math.radians(centre[0])))))
-        west, east = centre[1] - reach, centre[1] + reach
-        if west >= -180 and east <= 180:
-            near = near & lon.between(west, east)
+    if sides:
+        near = near & lon.between(*sides)
     return near & (haversine_m(lat, lon, centre) <= metres)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from curbflow.functions import geo
 from curbflow.operators import clean
 from curbflow.plans import common
+from curbflow.session import scratch_path
+from curbflow.sinks.point_index import append_points, read_box, read_near
 from curbflow.sources.tables import read_table, register_views, trips
 
 # The searched centre, radius and box corners.
@@ -103,6 +105,28 @@ def geo_point_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("trip_id", F.round("p.lat", 5).alias("lat"), F.round("p.lon", 5).alias("lon"))
 
 
+def _stored(spark: SparkSession, sf_dir: str, place: str) -> tuple[str, tuple[str, str]]:
+    """All trips stored by one of their places, a commit for each topic."""
+    path, columns = scratch_path(spark, "points"), (f"{place}_latitude", f"{place}_longitude")
+    every = trips(spark, sf_dir).select("trip_id", "topic", *columns)
+    for i, topic in enumerate(("users", "cars")):
+        append_points(spark, path, every.filter(F.col("topic") == topic), *columns, batch=("load", i))
+    return path, columns
+
+
+def indexed_geo_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The box search on stored points, from the files near the box."""
+    path, columns = _stored(spark, sf_dir, "dropoff")
+    return read_box(spark, path, TOP_LEFT, BOTTOM_RIGHT, *columns).select("trip_id", *columns)
+
+
+def indexed_within_10_miles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distance search on stored points, with the distance."""
+    path, columns = _stored(spark, sf_dir, "pickup")
+    near = read_near(spark, path, CENTRE, RADIUS_M, *columns)
+    return near.select("trip_id", F.round(geo.haversine_m(*columns, CENTRE), 3).alias("metres"))
+
+
 def sql_view_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over a registered view."""
     register_views(spark, sf_dir, ["events"])
@@ -124,6 +148,8 @@ QUERIES = {
         non_empty,
         within_10_miles,
         geo_bbox,
+        indexed_geo_bbox,
+        indexed_within_10_miles,
         geohash8,
         trip_documents,
         geo_point_forms,
@@ -191,3 +217,5 @@ SELECT topic, count(*) AS n, count(pickup_latitude) AS with_latitude,
   round(avg(dropoff_latitude), 6) AS mean_latitude
 FROM trips WHERE dropoff_longitude < -73 GROUP BY topic""",
 }
+ORACLES["indexed_geo_bbox"] = ORACLES["geo_bbox"]
+ORACLES["indexed_within_10_miles"] = ORACLES["within_10_miles"]
