@@ -81,6 +81,22 @@ def test_a_hot_passage_is_dealt_string_by_string(spark):
     assert largest[0] > 250 and largest[1] <= 120, largest
 
 
+@pytest.mark.parametrize("shared", [36, 70])
+def test_only_text_around_agreeing_bytes_is_compared(spark, shared):
+    """Shared passages shorter than a string ask for no text; longer ones for little beside themselves."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    passage = "".join(rng.choice(letters, shared))
+    docs = [(i, "".join(rng.choice(letters, 100)) + passage + "".join(rng.choice(letters, 100))) for i in range(60)]
+    keyed = spark.createDataFrame(docs, "id long, text string").selectExpr("id", "hash(text) AS key", "text")
+    dealt = keyed.mapInArrow(substring_dedup._map(4, 50, np.zeros(0, np.uint64)), "part int, decided boolean, docs binary, body binary")
+    asked = dealt.repartition(4, "part").sortWithinPartitions("part").mapInArrow(substring_dedup._reduce(50), substring_dedup._SPANS_SCHEMA)
+    spans = [s for r in asked.where("request").collect() for s in zip(r["starts"], r["ends"])]
+    # fingerprints of ten bits agree by chance now and then
+    assert len(spans) < 20 if shared < 50 else len(spans) >= 60
+    assert sum(a < 91 or b > 109 + shared for a, b in spans) < 20
+
+
 def test_edge_cases(spark):
     line = "".join(f"{i:03d}é" for i in range(40))
     docs = [
