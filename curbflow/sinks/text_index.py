@@ -1,7 +1,7 @@
 """Text search on a stored index: a table from tokens to documents, kept up with each commit.
 
 ``tokens`` holds one row for each distinct token of a text, in buckets by the token's hash, sorted by
-token, with Bloom filters. ``fields`` holds the other columns of the latest version of each document
+the token's first bytes, with Bloom filters. ``fields`` holds the other columns of the latest version of each document
 as an upsert index. A search reads the buckets of its own tokens, finds the documents that hold a
 token of every clause in one grouped pass, and joins their fields; no text is read.
 
@@ -39,6 +39,11 @@ def text_tokens(text: Column | str) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), TOKEN_BREAK)), "")
 
 
+def _first_bytes() -> Column:
+    """A token's first seven bytes as a number, in the order of tokens."""
+    return F.conv(F.rpad(F.hex(_TOKEN), 14, "0"), 16, 10).cast("long")
+
+
 def _tokens_path(path: str) -> str:
     return f"{path}/tokens"
 
@@ -71,7 +76,7 @@ def index_texts(
 
     if not known(manifest(spark, tokens)):
         held = marked.select(F.explode(text_tokens(text)).alias(_TOKEN), F.col(id).alias(_DOC), _MARK)
-        written = upserts.write_buckets(spark, tokens, held, _TOKEN, buckets)
+        written = upserts.write_buckets(spark, tokens, held, _TOKEN, buckets, _first_bytes())
 
         def change(state: dict | None) -> dict | None:
             if known(state):
@@ -131,7 +136,7 @@ def compact(spark: SparkSession, path: str, above: int = 1) -> int:
     folded = upserts.compact(spark, _fields_path(path), above)
     if not many:
         return folded
-    written = upserts.write_buckets(spark, tokens, _read_tokens(spark, path, state, many).distinct(), _TOKEN, state["buckets"])
+    written = upserts.write_buckets(spark, tokens, _read_tokens(spark, path, state, many).distinct(), _TOKEN, state["buckets"], _first_bytes())
 
     def change(now: dict) -> dict | None:
         if any(f not in now["folders"][b] for b, own in many.items() for f in own):

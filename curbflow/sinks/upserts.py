@@ -22,28 +22,37 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from curbflow.session import setting
 from curbflow.sinks.index import bucket_of, latest_by_id
 from curbflow.sinks.manifests import commit, hadoop, manifest, manifest_path, names, versions
 from curbflow.sinks.streams import DEFAULT_INTERVAL, start_batches
 
 _BUCKET = "_bucket"
+OPEN_FILES = 4  # a task mostly writes one bucket
 
 
-def write_buckets(spark: SparkSession, path: str, latest: DataFrame, id: str, buckets: int) -> dict[str, str]:
-    """Writes documents into a new folder; its name for each bucket that holds any."""
+def write_buckets(
+    spark: SparkSession, path: str, latest: DataFrame, id: str, buckets: int, order: Column | None = None
+) -> dict[str, str]:
+    """Writes documents into a new folder; its name for each bucket that holds any.
+
+    Files are sorted by id, or by ``order``: a single number, which Spark sorts without comparing rows.
+    """
     folder = f"part-{uuid.uuid4().hex}"
     bucketed = latest.withColumn(_BUCKET, bucket_of(id, buckets)).hint("rebalance", F.col(_BUCKET))
-    (
-        bucketed.sortWithinPartitions(_BUCKET, id)
-        .write.partitionBy(_BUCKET)
-        .option(f"parquet.bloom.filter.enabled#{id}", "true")
-        .parquet(f"{path}/{folder}")
-    )
+    # with a file open for each bucket of a task, rows need no sort by bucket first
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "0" if order is None else str(OPEN_FILES)):
+        (
+            bucketed.sortWithinPartitions(*([_BUCKET, id] if order is None else [order]))
+            .write.partitionBy(_BUCKET)
+            .option(f"parquet.bloom.filter.enabled#{id}", "true")
+            .parquet(f"{path}/{folder}")
+        )
     prefix = f"{_BUCKET}="
     return {n.removeprefix(prefix): folder for n in names(spark, f"{path}/{folder}") if n.startswith(prefix)}
 
