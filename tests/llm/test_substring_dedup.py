@@ -97,6 +97,48 @@ def test_only_text_around_agreeing_bytes_is_compared(spark, shared):
     assert sum(a < 91 or b > 109 + shared for a, b in spans) < 20
 
 
+def test_copies_are_decided_in_few_spans(spark):
+    """Whole copies far apart: what parts decide is one span for a document, not one for each of its anchors."""
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    texts = ["".join(rng.choice(letters, 2000)) for _ in range(40)]
+    docs = [(40 * copy + i, t) for copy in range(6) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartitionByRange(12, "doc_id")
+    keyed = frame.selectExpr("doc_id AS id", "hash(text) AS key", "text")
+    found = substring_dedup.repeated_spans(keyed).where("id >= 40").collect()
+    assert len(found) <= 250 and sum(len(r["starts"]) for r in found) <= 250
+    assert {(r["id"], tuple(r["starts"]), tuple(r["ends"])) for r in found} >= {(i, (0,), (2000,)) for i in range(40, 240)}
+    assert rows(substring_dedup.deduplicate(frame)) == brute(docs)
+
+
+@pytest.mark.parametrize("length", [50, 120])
+def test_packed_anchors_come_back(length):
+    """Also of a long document's later part and of strings of hot anchors; 25 bytes each and 12 for a document before."""
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(0, 4000, 60)
+    data = rng.choice(np.frombuffer(b"abcdefg ", np.uint8), sizes.sum())
+    offsets = np.append(0, np.cumsum(sizes))
+    found, upper = substring_dedup.anchors(data, offsets, length)
+    start = offsets[found["doc"]] + found["at"]
+    strings, high = substring_dedup._cut(found[:50], start[:50], substring_dedup.tb.prefix_sums(data), length)
+    found, upper = np.concatenate([strings, found[50:]]), np.concatenate([high, upper[50:]])
+    found["at"][-100:] += np.uint32(70_000_000)
+    docs = np.zeros(60, substring_dedup._DOC)
+    docs["id"], docs["key"] = rng.permutation(60) - 30, rng.integers(-(1 << 31), 1 << 31, 60)
+    docs["id"][7] = substring_dedup.NO_ID
+    part = (upper % np.uint64(16)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    size = 0
+    for p, places, body in substring_dedup._packed(docs, found[order], part[order], length):
+        got, own = substring_dedup._unpacked(places, body, length)
+        want = found[part == p]
+        for name in ("hash", "text", "at", "count", "around"):
+            assert (got[name] == want[name]).all(), name
+        assert (own == docs[want["doc"]]).all()
+        size += len(places) + len(body)
+    assert length > 50 or size < 27 * len(found)
+
+
 def test_edge_cases(spark):
     line = "".join(f"{i:03d}é" for i in range(40))
     docs = [
